@@ -22,7 +22,7 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 class Memo(dict):
     """key -> make(key), kept up to a number of entries and then started afresh."""
 
-    def __init__(self, make, limit: int = 400_000):
+    def __init__(self, make, limit: int = 600_000):
         super().__init__()
         self.make, self.limit = make, limit
 
