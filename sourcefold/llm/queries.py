@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontamination, quality
+from . import bpe, decontamination, quality, tokenfiles
 
 QUERIES = {
     "op1_benchmark_decontamination": decontamination.op1_benchmark_decontamination,
     "op6_quality_rules": quality.op6_quality_rules,
+    "op7_token_files": tokenfiles.op7_token_files,
+    "op9_forced_boundary_bpe": bpe.op9_forced_boundary_bpe,
 }
 
 ORACLES = {
