@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, decontamination, neardup, quality, tokenfiles
+from . import bpe, decontamination, neardup, quality, substrings, tokenfiles
 
 QUERIES = {
     "op1_benchmark_decontamination": decontamination.op1_benchmark_decontamination,
+    "op2_substring_dedup": substrings.op2_substring_dedup,
     "op4_near_duplicates": neardup.op4_near_duplicates,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_token_files": tokenfiles.op7_token_files,
@@ -14,6 +15,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_benchmark_decontamination": decontamination.OP1_SQL,
+    "op2_substring_dedup": substrings.OP2_SQL,
     "op4_near_duplicates": neardup.OP4_SQL,
     "op6_quality_rules": quality.OP6_SQL,
 }
