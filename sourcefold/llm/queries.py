@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, decontamination, neardup, quality, substrings, tokenfiles
+from . import bpe, decontamination, neardup, private, quality, substrings, tokenfiles
 
 QUERIES = {
     "op1_benchmark_decontamination": decontamination.op1_benchmark_decontamination,
     "op2_substring_dedup": substrings.op2_substring_dedup,
+    "op3_private_data": private.op3_private_data,
     "op4_near_duplicates": neardup.op4_near_duplicates,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_token_files": tokenfiles.op7_token_files,
