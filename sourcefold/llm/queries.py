@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontamination, neardup, private, quality, substrings, tokenfiles
+from . import bpe, decontamination, neardup, private, quality, shuffling, substrings, tokenfiles
 
 QUERIES = {
     "op1_benchmark_decontamination": decontamination.op1_benchmark_decontamination,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_near_duplicates": neardup.op4_near_duplicates,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_token_files": tokenfiles.op7_token_files,
+    "op8_shuffled_shards": shuffling.op8_shuffled_shards,
     "op9_forced_boundary_bpe": bpe.op9_forced_boundary_bpe,
 }
 
