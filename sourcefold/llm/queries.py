@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontamination, neardup, private, quality, shuffling, substrings, tokenfiles
+from . import bpe, decontamination, licences, neardup, private, quality, shuffling, substrings, tokenfiles
 
 QUERIES = {
     "op1_benchmark_decontamination": decontamination.op1_benchmark_decontamination,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_token_files": tokenfiles.op7_token_files,
     "op8_shuffled_shards": shuffling.op8_shuffled_shards,
     "op9_forced_boundary_bpe": bpe.op9_forced_boundary_bpe,
+    "op10_licence_sentences": licences.op10_licence_sentences,
 }
 
 ORACLES = {
@@ -20,4 +21,5 @@ ORACLES = {
     "op2_substring_dedup": substrings.OP2_SQL,
     "op4_near_duplicates": neardup.OP4_SQL,
     "op6_quality_rules": quality.OP6_SQL,
+    "op10_licence_sentences": licences.OP10_SQL,
 }
