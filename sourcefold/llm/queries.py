@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, decontamination, licences, neardup, private, quality, shuffling, substrings, tokenfiles
+from . import bpe, chat, decontamination, licences, neardup, private, quality, shuffling, substrings, tokenfiles
 
 QUERIES = {
     "op1_benchmark_decontamination": decontamination.op1_benchmark_decontamination,
     "op2_substring_dedup": substrings.op2_substring_dedup,
     "op3_private_data": private.op3_private_data,
     "op4_near_duplicates": neardup.op4_near_duplicates,
+    "op5_reply_trees": chat.op5_reply_trees,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_token_files": tokenfiles.op7_token_files,
     "op8_shuffled_shards": shuffling.op8_shuffled_shards,
@@ -20,6 +21,7 @@ ORACLES = {
     "op1_benchmark_decontamination": decontamination.OP1_SQL,
     "op2_substring_dedup": substrings.OP2_SQL,
     "op4_near_duplicates": neardup.OP4_SQL,
+    "op5_reply_trees": chat.OP5_SQL,
     "op6_quality_rules": quality.OP6_SQL,
     "op10_licence_sentences": licences.OP10_SQL,
 }
