@@ -88,8 +88,8 @@ def jn03(spark, sf):
 
 
 PLACES = """p AS (SELECT site_id, NULL::VARCHAR AS coord_key, 'town ' || site_id AS municipality, CASE WHEN site_id % 4 = 0 THEN ' ' ELSE 'state' END AS admin1 FROM {fx_sites} WHERE site_id % 2 = 0),
-  q AS (SELECT k AS coord_key, 'near ' || min(site_id) AS municipality, '' AS admin1 FROM (SELECT site_id, printf('%.3f', latitude) || ',' || printf('%.3f', longitude) AS k FROM {fx_sites}) WHERE site_id % 3 = 0 GROUP BY k),
-  s AS (SELECT site_id, municipality, admin1, printf('%.3f', latitude) || ',' || printf('%.3f', longitude) AS coord_key FROM {fx_sites})"""
+  q AS (SELECT k AS coord_key, 'near ' || min(site_id) AS municipality, '' AS admin1 FROM (SELECT site_id, CASE WHEN longitude BETWEEN -180 AND 180 THEN printf('%.3f', latitude) || ',' || printf('%.3f', longitude) END AS k FROM {fx_sites}) WHERE site_id % 3 = 0 AND k IS NOT NULL GROUP BY k),
+  s AS (SELECT site_id, municipality, admin1, CASE WHEN longitude BETWEEN -180 AND 180 THEN printf('%.3f', latitude) || ',' || printf('%.3f', longitude) END AS coord_key FROM {fx_sites})"""
 
 
 def place_cache(spark, sf):
@@ -104,7 +104,7 @@ def jn04(spark, sf):
     return seed.with_cached_places(*place_cache(spark, sf), ["municipality", "admin1"]).select("site_id", "municipality", "admin1", "lookup")
 
 
-@query("jn06_places_to_look_up", f"WITH {PLACES} SELECT s.coord_key, min(s.site_id) AS site_id FROM s WHERE s.site_id % 2 <> 0 AND s.coord_key NOT IN (SELECT coord_key FROM q) GROUP BY s.coord_key")
+@query("jn06_places_to_look_up", f"WITH {PLACES} SELECT s.coord_key, min(s.site_id) AS site_id FROM s WHERE s.site_id % 2 <> 0 AND s.coord_key IS NOT NULL AND s.coord_key NOT IN (SELECT coord_key FROM q) GROUP BY s.coord_key")
 def jn06(spark, sf):
     return seed.misses(*place_cache(spark, sf))
 
