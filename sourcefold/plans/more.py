@@ -24,7 +24,7 @@ def sc15(spark, sf):
     return table(spark, sf, "events").select("event_id", F.round(values.ch4_tonnes(F.format_string("%.2f", F.round("value", 2)), unit), 4).alias("tonnes"))
 
 
-@query("sc16_convert_by_attribute", f"SELECT l_orderkey, l_linenumber, round(({FACTORS.replace('WHEN 5 THEN 1.0 WHEN 9 THEN 1.0 WHEN 10 THEN 1.0160469088', 'WHEN 5 THEN 1.0 WHEN 9 THEN 1.0 WHEN 10 THEN 1.0160469088')})::DOUBLE * first * magnitude * ({RATES})::DOUBLE, 4) AS yearly FROM ({QUANTITY})")
+@query("sc16_convert_by_attribute", f"SELECT l_orderkey, l_linenumber, round(({FACTORS})::DOUBLE * first * magnitude * ({RATES})::DOUBLE, 4) AS yearly FROM ({QUANTITY})")
 def sc16(spark, sf):
     return table(spark, sf, "fx_quantity").select("l_orderkey", "l_linenumber", F.round(values.converted(F.lit("annual_incoming_waste_metric_tonnes"), c("value"), c("unit")), 4).alias("yearly"))
 
