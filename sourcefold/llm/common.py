@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,7 +24,7 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 class Memo(dict):
     """key -> make(key), kept up to a number of entries and then started afresh."""
 
-    def __init__(self, make, limit: int = 600_000):
+    def __init__(self, make, limit: int = 200_000):
         super().__init__()
         self.make, self.limit = make, limit
 
@@ -35,7 +37,7 @@ class Memo(dict):
 
 def word_hashes() -> Memo:
     """64-bit hashes of byte strings, the same in every process."""
-    return Memo(xxhash.xxh64_intdigest)
+    return Memo(xxhash.xxh64_intdigest, 150_000)
 
 
 def hashed(words: list[bytes], memo: Memo) -> np.ndarray:
@@ -67,6 +69,13 @@ def gram_hashes(words: np.ndarray, length: int) -> np.ndarray:
         k *= 2
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what is made of one stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one made here where that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -86,7 +95,7 @@ def cut(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame) -> DataFrame:
     """The same rows read from a Parquet table in the shared folder."""
     path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -23,12 +23,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import BROADCAST_ROWS, LOWER, cut, gram_hashes, hashed, joined, mix, stored, without, word_hashes
+from .common import BROADCAST_ROWS, LOWER, cut, gram_hashes, hashed, joined, mix, sliced, stored, without, word_hashes
 from .components import components
 
 HASHES, ROWS = 75, 5
 #: A shingle of at most so many open documents is rare.
-RARE = 16
+RARE = 64
 #: Members of one pivot that are compared in one group of rows.
 GROUP = 256
 _memo = word_hashes()
@@ -68,7 +68,7 @@ def signatures(docs: DataFrame, id_col: str, text: str, shingle: int, hashes: in
     a, b = permutations(hashes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             sizes, one, two, keys = [], [], [], []
             for value in batch.column(1):
                 items = shingle_set(value.as_py(), shingle)
@@ -99,7 +99,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, shingle: int, threshold: int) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, head = None, np.empty(0, np.uint64)
-        for batch in batches:
+        for batch in sliced(batches):
             a, salt, role, ids = (batch.column(k).to_pylist() for k in range(4))
             out: list[tuple] = []
             for k, value in enumerate(batch.column(4)):
@@ -135,7 +135,7 @@ def rest_pairs(docs: DataFrame, opened: DataFrame, shingle: int) -> tuple[DataFr
     kind = opened.schema["id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             for i, value in zip(batch.column(0), batch.column(1)):
                 items = shingle_set(value.as_py(), shingle)
                 if len(items):
