@@ -21,12 +21,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import Memo, without
+from .common import Memo, sliced, without
 
 #: The characters with the Unicode property White_Space.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: Characters below this one are their own normal form and have had their properties since long.
+SIMPLE = "\u0180"
+#: Byte-level tokenizers write each byte as a printable character: itself where it is one, else the next from U+0100 on.
+_printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTES = dict(zip([b for b in range(256) if b not in _printable], map(chr, range(256, 512))))
 _loaded: dict = {}
 
 
@@ -63,11 +69,21 @@ class Codec:
             if pairs:
                 self.beside.update(pairs[:-1] if ends else pairs)
                 self.beside_last.update(pairs[-1:] if ends or not self.suffix else [])
-        self.pieces = Memo(self._piece)
-        self.chunks = Memo(self._chunk)
+        self.words = self._simple_split(spec)
+        self.pieces = Memo(self._piece, 60_000)
+        self.chunks = Memo(self._chunk, 120_000)
         self.chunk = re.compile(f"[^{WHITE}]+")
         self.decimal = np.array([str(i) for i in range(len(self.strings))], object)
 
+    @staticmethod
+    def _simple_split(spec: dict):
+        """The word pattern, for files of the usual form: text of simple characters then needs no library to be split."""
+        split, *rest = (spec["pre_tokenizer"] or {}).get("pretokenizers", [None])
+        usual = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+        if not usual or split is None or split["type"] != "Split" or split["behavior"] != "Removed" or not split["invert"] or [(r["type"], r["use_regex"], r["add_prefix_space"]) for r in rest] != [("ByteLevel", False, False)]:
+            return None
+        return regex.compile(split["pattern"]["Regex"].replace("\\s", WHITE))
+
     def fragments(self, word: str) -> list[str]:
         """The word cut wherever two neighbours never stand side by side inside a token."""
         beside, end = self.beside, len(word) - 1
@@ -84,7 +100,11 @@ class Codec:
 
     def _words(self, text: str) -> list[int]:
         out: list[int] = []
-        for word, _ in self.split.pre_tokenize_str(self.normalise.normalize_str(text)):
+        if self.words and max(text) < SIMPLE:
+            words = [w.encode().decode("latin-1").translate(BYTES) for w in self.words.findall(text.lower())]
+        else:
+            words = [w for w, _ in self.split.pre_tokenize_str(self.normalise.normalize_str(text))]
+        for word in words:
             parts = self.fragments(word)
             for k, part in enumerate(parts, 1):
                 out += self.pieces[part, k == len(parts)]
@@ -115,35 +135,38 @@ def codec(source: str) -> Codec:
     return _loaded[key]
 
 
-def encode(docs: DataFrame, tokenizer_path: str, *, text: str = "text", keep: list[str] | None = None, digests: bool = False, arrays: bool = True) -> DataFrame:
+def encode(docs: DataFrame, tokenizer_path: str, *, text: str = "text", keep: list[str] | None = None, digests: bool = False, ids: bool = True, decoded: bool = True) -> DataFrame:
     """The kept columns of docs (all by default) with ids (array<int>) and decoded (string).
 
-    digests: give n_tokens, ids_sha256 and decoded_sha256 of the two. arrays: give the two themselves. The tokenizer
-    file (a few MB, whatever the corpus) is read by the driver and broadcast.
+    ids, decoded: whether to give each of the two. digests: give n_tokens, ids_sha256 and decoded_sha256 of them. The
+    tokenizer file (a few MB, whatever the corpus) is read by the driver and broadcast.
     """
     docs = without(docs, ["ids", "decoded", "n_tokens", "ids_sha256", "decoded_sha256"])
     keep = docs.columns if keep is None else keep
     with open(tokenizer_path, encoding="utf-8") as file:
         source = docs.sparkSession.sparkContext.broadcast(file.read())
     fields = [*(docs.schema[c] for c in keep)]
-    fields += [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())] if arrays else []
+    fields += [T.StructField("ids", T.ArrayType(T.IntegerType()))] if ids else []
+    fields += [T.StructField("decoded", T.StringType())] if decoded else []
     fields += [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())] if digests else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(source.value)
-        for batch in batches:
-            ids, decoded, sizes, a, b = [], [], [], [], []
+        for batch in sliced(batches):
+            found, back, sizes, a, b = [], [], [], [], []
             for value in batch.column(batch.schema.names.index(text)):
-                found = own.encode(value.as_py())
-                back = own.decode(found)
-                if arrays:
-                    ids.append(found.astype(np.int32))
-                    decoded.append(back)
+                codes = own.encode(value.as_py())
+                if ids:
+                    found.append(codes.astype(np.int32))
+                if decoded or digests:
+                    told = own.decode(codes)
+                    back.append(told if decoded else None)
                 if digests:
-                    sizes.append(len(found))
-                    a.append(hashlib.sha256(" ".join(own.decimal[found]).encode()).hexdigest())
-                    b.append(hashlib.sha256(back.encode()).hexdigest())
-            more = {"ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.string())} if arrays else {}
+                    sizes.append(len(codes))
+                    a.append(hashlib.sha256(" ".join(own.decimal[codes]).encode()).hexdigest())
+                    b.append(hashlib.sha256(told.encode()).hexdigest())
+            more = {"ids": pa.array(found, pa.list_(pa.int32()))} if ids else {}
+            more |= {"decoded": pa.array(back, pa.string())} if decoded else {}
             more |= {"n_tokens": pa.array(sizes, pa.int64()), "ids_sha256": pa.array(a, pa.string()), "decoded_sha256": pa.array(b, pa.string())} if digests else {}
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.names.index(c)) for c in keep), *more.values()], names=[*keep, *more])
 
@@ -154,4 +177,4 @@ def op9_forced_boundary_bpe(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return encode(docs, public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"], digests=True, arrays=False)
+    return encode(docs, public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"], digests=True, ids=False, decoded=False)

@@ -15,6 +15,7 @@ each other, ordered by their ids; an empty table gives files without blocks.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import uuid
 import zlib
@@ -25,12 +26,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from .bpe import WHITE
-from .common import Memo, shared_dir, stored
+from .bpe import BYTES, WHITE
+from .common import Memo, shared_dir, sliced, stored
 
 #: Lengths of the four numbers behind each control byte.
 LENGTHS = np.stack([(np.arange(256) >> s & 3) + 1 for s in (0, 2, 4, 6)], 1).astype(np.uint8)
 BLOCK_IDS = 1_000_000
+#: The letters and numbers below U+0180, and whatever lies beyond.
+LETTERS, NUMBERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc\xbd\xbe"
+OTHER = re.compile("[^\x00-\u017f]")
 _loaded: dict = {}
 
 
@@ -73,25 +77,32 @@ class Encoder:
         self.special = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         self.stretch = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
         self.kind = kind
-        self.memo = Memo(None)
+        self.memo = Memo(self._stretch, 100_000)
+        self.model = None
+        spec = json.loads(source)
+        plain = spec["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": spec["pre_tokenizer"].get("trim_offsets"), "use_regex": True}
+        if plain and spec["model"]["type"] == "BPE" and not spec["normalizer"]:
+            # the word split of such files; text of simple characters then needs no more of the library than its model
+            self.model = self.library.model
+            self.split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{WHITE}{LETTERS}{NUMBERS}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+            self.pieces = Memo(self._piece, 700_000)
+
+    def _piece(self, piece: str) -> bytes:
+        return np.array([t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(BYTES))], self.kind).tobytes()
+
+    def _stretch(self, stretch: str) -> bytes:
+        return np.array(self.library.encode(stretch, add_special_tokens=False).ids, self.kind).tobytes()
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text."""
         out: list[bytes] = []
         for text in texts:
             if self.special.search(text):  # what surrounds an added token is split apart from it
-                out.append(np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes())
-                continue
-            parts = self.stretch.findall(text)
-            memo = self.memo
-            new = [p for p in dict.fromkeys(parts) if p not in memo]
-            if new:
-                if len(memo) + len(new) > memo.limit:
-                    memo.clear()
-                    new = list(dict.fromkeys(parts))
-                for part, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-                    memo[part] = np.array(found.ids, self.kind).tobytes()
-            out.append(b"".join([memo[p] for p in parts]))
+                out.append(self._stretch(text))
+            elif self.model and not OTHER.search(text):
+                out.append(b"".join(map(self.pieces.__getitem__, self.split.findall(text))))
+            else:
+                out.append(b"".join(map(self.memo.__getitem__, self.stretch.findall(text))))
         return out
 
 
@@ -113,7 +124,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str, *, key: str, text: str, end_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, end = encoder(source.value, kind), np.array([end_id], kind).tobytes()
-        for batch in batches:
+        for batch in sliced(batches):
             ids = own.encode_all([v or "" for v in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x + end for x in ids], pa.binary())], names=["key", "ids"])
 
@@ -174,7 +185,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, *, key: str = "doc_id
     fields = T.StructType([T.StructField(n, t) for n, t in (("part", T.LongType()), ("seq", T.LongType()), ("first", T.LongType()), ("keys", T.ArrayType(kind_of_key)), ("sizes", T.ArrayType(T.LongType())), ("control", T.BinaryType()), ("data", T.BinaryType()))])
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = tokens.repartitionByRange(parts, "key", F.xxhash64("ids")).sortWithinPartitions("key", "ids")
-    dealt.mapInArrow(blocks, fields).write.parquet(f"{path}/blocks")
+    dealt.mapInArrow(blocks, fields).write.option("compression", "zstd").parquet(f"{path}/blocks")
 
 
 def read(spark: SparkSession, path: str, digest_only: bool = False) -> DataFrame:
