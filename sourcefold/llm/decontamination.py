@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import without
+from .common import sliced, without
 
 WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 ADDED = ["n_words", "n_hit", "items", "contaminated", "clean_text"]
@@ -167,35 +167,48 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     items = benchmark.where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull()).select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t"))
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
-    docs = without(docs, [*ADDED, "_hit_spans", "_hit_items"])
+    out = docs = without(docs, [*ADDED, "_hit_spans", "_hit_items"])
     kept = list(docs.schema)
-    fields = T.StructType([*kept, T.StructField("_hit_spans", T.ArrayType(T.IntegerType())), T.StructField("_hit_items", T.ArrayType(T.StringType())), T.StructField("n_words", T.LongType())])
-    out = docs.withColumns({"_hit_spans": F.array().cast("array<int>"), "_hit_items": F.array().cast("array<string>"), "n_words": F.lit(None).cast("long")})
+    between = T.StructType([*kept, T.StructField("_hit_spans", T.ArrayType(T.IntegerType())), T.StructField("_hit_items", T.ArrayType(T.StringType()))])
+    final = T.StructType([*kept, *(T.StructField(n, t) for n, t in (("n_words", T.LongType()), ("n_hit", T.LongType()), ("items", T.ArrayType(T.StringType())), ("clean_text", T.StringType())))])
     for block in range(blocks):
         own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block)
         automaton = spark.sparkContext.broadcast(Automaton([(r.i, words_of(r.t)) for r in own.sort("i", "t").collect()], window))
-        out = out.mapInArrow(_matcher(automaton, text), fields)
-    arrow = [*kept, *(T.StructField(n, t) for n, t in (("n_words", T.LongType()), ("n_hit", T.LongType()), ("items", T.ArrayType(T.StringType())), ("clean_text", T.StringType())))]
-    out = out.mapInArrow(_finish(text, clean, max_span), T.StructType(arrow))
+        last = block == blocks - 1
+        out = out.mapInArrow(_pass(automaton, text, [f.name for f in kept], last, clean, max_span), final if last else between)
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * coverage[1] >= F.col("n_words") * coverage[0]))
 
 
-def _matcher(automaton, text: str):
+def _pass(automaton, text: str, kept: list[str], last: bool, clean: bool, max_span: int):
+    """Adds what one block of the benchmark hits to what earlier blocks did; the last pass gives the results."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         match = automaton.value.stream
-        for batch in batches:
-            names = batch.schema.names
-            spans, items, sizes = [], [], []
-            before = batch.column(names.index("_hit_spans")).to_pylist()
-            named = batch.column(names.index("_hit_items")).to_pylist()
-            for value, old, of in zip(batch.column(names.index(text)), before, named):
-                words = words_of(value.as_py())
+        for batch in sliced(batches):
+            named = dict(zip(batch.schema.names, batch.columns))
+            n = batch.num_rows
+            before = named["_hit_spans"].to_pylist() if "_hit_spans" in named else [[]] * n
+            earlier = named["_hit_items"].to_pylist() if "_hit_items" in named else [[]] * n
+            flats, items, sizes, hits, texts = [], [], [], [], []
+            for value, old, of in zip(named[text], before, earlier):
+                said = value.as_py()
+                words = words_of(said)
                 found, more = match(words)
-                spans.append([*old, *(x for s in found for x in s)])
+                flat = [*old, *(x for s in found for x in s)]
                 items.append(sorted({*of, *more}))
+                if not last:
+                    flats.append(flat)
+                    continue
+                spans = merged(flat)
                 sizes.append(len(words))
-            own = {"_hit_spans": pa.array(spans, pa.list_(pa.int32())), "_hit_items": pa.array(items, pa.list_(pa.string())), "n_words": pa.array(sizes, pa.int64())}
-            yield pa.RecordBatch.from_arrays([own.get(n, batch.column(i)) for i, n in enumerate(names)], names=names)
+                hits.append(sum(b - a for a, b in spans))
+                over = [s for s in spans if s[1] - s[0] > max_span] if clean else []
+                texts.append((cut_words(said, over) if over else said) if clean else None)
+            if last:
+                own = {"n_words": pa.array(sizes, pa.int64()), "n_hit": pa.array(hits, pa.int64()), "items": pa.array(items, pa.list_(pa.string())), "clean_text": pa.array(texts, pa.string())}
+            else:
+                own = {"_hit_spans": pa.array(flats, pa.list_(pa.int32())), "_hit_items": pa.array(items, pa.list_(pa.string()))}
+            yield pa.RecordBatch.from_arrays([*(named[c] for c in kept), *own.values()], names=[*kept, *own])
 
     return run
 
@@ -211,25 +224,6 @@ def merged(flat: list[int]) -> list[tuple[int, int]]:
     return out
 
 
-def _finish(text: str, clean: bool, max_span: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names = batch.schema.names
-            hits, texts = [], []
-            for value, flat in zip(batch.column(names.index(text)), batch.column(names.index("_hit_spans")).to_pylist()):
-                spans = merged(flat)
-                hits.append(sum(b - a for a, b in spans))
-                if clean:
-                    over = [s for s in spans if s[1] - s[0] > max_span]
-                    texts.append(cut_words(value.as_py(), over) if over else value.as_py())
-            columns = [batch.column(i) for i, n in enumerate(names) if n not in ("_hit_spans", "_hit_items", "n_words")]
-            kept = [n for n in names if n not in ("_hit_spans", "_hit_items", "n_words")]
-            own = [batch.column(names.index("n_words")), pa.array(hits, pa.int64()), batch.column(names.index("_hit_items")), pa.array(texts if clean else [None] * len(hits), pa.string())]
-            yield pa.RecordBatch.from_arrays([*columns, *own], names=[*kept, "n_words", "n_hit", "items", "clean_text"])
-
-    return run
-
-
 def op1_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), clean=False)
