@@ -10,10 +10,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sourcefold.llm import bpe, decontamination, neardup, private, quality
-from sourcefold.llm.common import stored
+from sourcefold.llm.common import small_batches, stored
 from sourcefold.shipping import ship
 
 
+def prepare(spark: SparkSession) -> None:
+    """The stages share executors, whose Python workers keep what each has loaded."""
+    ship(spark)
+    small_batches(spark)
+
+
 def with_text(docs: DataFrame, found: DataFrame, clean: str) -> DataFrame:
     """found with its cleaned text as text, and the columns of docs alone; n_chars follows the text."""
     columns = [F.col(clean).alias("text") if c == "text" else F.length(clean).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
@@ -22,33 +28,33 @@ def with_text(docs: DataFrame, found: DataFrame, clean: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules, of hosts that do."""
-    ship(spark)
+    prepare(spark)
     return quality.judge(docs).where("kept").select(*[f"`{c}`" for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest id, of each near-duplicate class (5-word shingles, similarity 0.8)."""
-    ship(spark)
+    prepare(spark)
     return neardup.deduplicated(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth is benchmark text, without that text."""
-    ship(spark)
+    prepare(spark)
     found = decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return with_text(docs, found.where("NOT contaminated"), "clean_text")
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with labels in place of personal data."""
-    ship(spark)
+    prepare(spark)
     return with_text(docs, private.sanitise(docs), "clean_text")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, ids and n_tokens."""
-    ship(spark)
-    found = bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id", "lang", "source"])
+    prepare(spark)
+    found = bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id", "lang", "source"], decoded=False)
     return found.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"))
 
 

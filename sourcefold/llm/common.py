@@ -37,7 +37,7 @@ class Memo(dict):
 
 def word_hashes() -> Memo:
     """64-bit hashes of byte strings, the same in every process."""
-    return Memo(xxhash.xxh64_intdigest, 150_000)
+    return Memo(xxhash.xxh64_intdigest, 80_000)
 
 
 def hashed(words: list[bytes], memo: Memo) -> np.ndarray:
@@ -76,6 +76,12 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Smaller Arrow batches where the session has Spark's own size: texts can be long, and batches stand in memory on both sides."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one made here where that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -53,8 +53,8 @@ def permutations(n: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
 def bands(items: np.ndarray, a: np.ndarray, b: np.ndarray, rows: int) -> np.ndarray:
     """A key per band of the signature: all minima, then all maxima."""
     low, high = np.full(len(a), 2**64 - 1, np.uint64), np.zeros(len(a), np.uint64)
-    for at in range(0, len(items), 8192):
-        values = items[at : at + 8192] * a[:, None] + b[:, None]
+    for at in range(0, len(items), 2048):
+        values = items[at : at + 2048] * a[:, None] + b[:, None]
         low, high = np.minimum(low, values.min(1)), np.maximum(high, values.max(1))
     signature = np.concatenate((low, high)).reshape(-1, rows)
     keys = np.arange(len(signature), dtype=np.uint64)

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import BROADCAST_ROWS, cut, without
+from .common import BROADCAST_ROWS, cut, sliced, without
 
 SPACE = b" \t\n\v\f\r"
 SYMBOLS = b"#*$%&|<>"
@@ -68,7 +68,7 @@ def rule_counts(docs: DataFrame, text: str = "text", keep: list[str] | None = No
     fields = T.StructType([*(docs.schema[c] for c in keep), *(T.StructField(c, T.LongType()) for c in COUNTS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [counts(v.as_py()) for v in batch.column(batch.schema.names.index(text))]
             own = [pa.array(x, pa.int64()) for x in zip(*found)] if found else [pa.array([], pa.int64())] * 5
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.names.index(c)) for c in keep), *own], names=[*keep, *COUNTS])
