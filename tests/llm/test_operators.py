@@ -283,3 +283,34 @@ def test_licence_sequences(spark):
     assert all(found[10 + k].licences == [] for k in range(len(EDGE)))
     assert licences.scan(frame(spark, [])).count() == 0
     assert licences.scan(frame(spark, [(1, "x", 2)], "doc_id long, text string, Licences int")).columns == ["doc_id", "text", "sequence", "n_known", "n_unused", "licences"]
+
+
+GPL = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version {} of the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details.\n"
+HEADERS = {
+    "GPL-3.0-or-later": GPL.format(3),
+    "GPL-2.0-or-later": GPL.format(2),
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.\n",
+    "Apache-2.0": 'Copyright 2020 X\n\nLicensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an "AS IS" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\nSee the License for the specific language.\n',
+    "MIT": 'Copyright (c) 2020 X\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,\nFITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE\nAUTHORS BE LIABLE.\n',
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.\n\n3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.\n",
+}
+IDS = {"GPL-3.0-or-later": "gpl-3.0-or-later,gpl-hope", "GPL-2.0-or-later": "gpl-2.0-or-later,gpl-hope", "MPL-2.0": "mpl-2.0-notice", "Apache-2.0": "apache-2.0-notice,apache-2.0-compliance,apache-2.0-asis", "MIT": "mit-grant,mit-keep,asis-software", "BSD-3-Clause": "bsd-grant,bsd-source,bsd-binary,bsd-endorse"}
+
+
+def test_wrapped_headers(spark):
+    forms = [lambda t: t, lambda t: t.replace("\n", "\r\n"), lambda t: t.replace("\n", "\r")]
+    forms += [lambda t, m=m: "".join(f"{m} {line}\n" for line in t.split("\n")) for m in (" *", "#", "//", "--", ";;", "  ")]
+    # as narrow as can be: a line for each word of a paragraph
+    forms += [lambda t: "\n\n".join("\n".join(p.split()) for p in t.split("\n\n"))]
+    rows = [(i * 10 + k, form(text)) for i, form in enumerate(forms) for k, text in enumerate(HEADERS.values())]
+    found = {r.doc_id: r for r in licences.scan(frame(spark, rows)).collect()}
+    for i in range(len(forms)):
+        for k, name in enumerate(HEADERS):
+            assert (",".join(found[i * 10 + k]["sequence"]), found[i * 10 + k].licences) == (IDS[name], [name]), (i, name)
+
+
+def test_every_known_sentence_is_searched_for(spark):
+    every = [(t, i) for i, texts in licences.SENTENCES.items() for t in texts]
+    rows = [(k, f"{t}\n\nlicence" if i.startswith("name-") else t) for k, (t, i) in enumerate(every)] + [(1001, "Licensed under the\n\nMIT License")]
+    found = {r.doc_id: r["sequence"] for r in licences.scan(frame(spark, rows)).collect()}
+    assert all(found[k] == [i] for k, (_, i) in enumerate(every)) and found[1001] == []
