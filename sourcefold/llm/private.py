@@ -1,18 +1,19 @@
 """Personal data: patterns, and terms that reveal whom they stand beside.
 
 Base: four kinds of identifiers are matched and checked. Each valid match is a protected entity. Information-theoretic
-part: the corpus tells how strongly a term beside an entity reveals it. With N documents, n_t of them holding the
-term, n_e the entity and n_te the term beside the entity, disclosure is
+part: the corpus tells how strongly a term in the documents of an entity reveals it. With N documents, n_t of them
+holding the term, n_e the entity and n_te both, disclosure is
 
     PMI(t; e) / IC(e) = log(N * n_te / (n_t * n_e)) / log(N / n_e),
 
-1 when the term never stands in a document but beside the entity. Terms at or over a threshold are generalised,
-those at 1 removed, wherever they stand beside that entity; pairs seen in too few different contexts are left alone,
-so a passage that was merely copied reveals nothing. Everything is column expressions, joins and aggregates.
+1 when the term never stands in a document without the entity. Terms at or over a threshold are generalised, those at
+1 removed, wherever they stand in documents that hold the entity; pairs seen in too few different documents are left
+alone, so a document that was merely copied reveals nothing. Copies are documents of equal entities and text, but for
+case and white space. Everything is column expressions, joins and aggregates.
 
 Defined cases: a null text is empty; an empty table or a corpus of one document discloses no terms; rows with equal
-id and text are one document in the counts and each get their spans; ids may be null; columns of the input that bear
-an added column's name are replaced.
+id and text are copies, count in N, n_t, n_e and n_te alike, and each get their spans; ids may be null; a word that
+overlaps an entity is no term; columns of the input that bear an added column's name are replaced.
 """
 
 from __future__ import annotations
@@ -34,9 +35,10 @@ PATTERNS = {
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 WORD = r"\p{L}[\p{L}\p{M}'-]*+"
-#: Code points on either side of an entity in which terms count as beside it.
-BESIDE = 60
-#: Disclosure from which a term goes, and different contexts that a term and an entity need.
+#: Stands for each letter of an entity while words are sought, so that a word that overlaps one is known by it.
+MARK = "\U0010FFFF"
+TOKEN = rf"[\p{{L}}{MARK}][\p{{L}}\p{{M}}'{MARK}-]*+"
+#: Disclosure from which a term goes, and different documents that a term and an entity need together.
 DISCLOSURE, CONTEXTS = 0.9, 3
 ADDED = ["spans", "clean_text"]
 
@@ -73,50 +75,74 @@ def with_base(docs: DataFrame, text: str) -> DataFrame:
     return out.withColumn("_base", F.expr(f"array_sort(concat({every}))")).drop(*(f"_{x}_{kind}" for kind in KINDS for x in "ms"))
 
 
-def words_beside(side: str) -> Column:
-    """Of an exploded span x: the words in the window on one side of it, lower case, cut words left out."""
-    left = side == "left"
-    begin = f"greatest(x.start - {BESIDE}, 0)" if left else "x.end"
-    window = f"substring(_text, {begin} + 1, x.start - ({begin}))" if left else f"substring(_text, x.end + 1, {BESIDE})"
-    found = f"regexp_extract_all({window}, r\"{WORD}\", 0)"
-    spans = placed(window, found, WORD, begin)
-    whole = rf"(w.start > {begin} OR {begin} = 0 OR NOT substring(_text, {begin}, 1) rlike r'[\p{{L}}\p{{M}}]')" if left else rf"(w.end < x.end + {BESIDE} OR NOT substring(_text, w.end + 1, 1) rlike r'[\p{{L}}\p{{M}}]') AND (w.start > x.end)"
-    return F.expr(f"filter({spans}, w -> {whole} AND NOT exists(_base, b -> b.start < w.end AND w.start < b.end))")
+def marked(text: str, base: str) -> str:
+    """SQL for text with MARK for each letter of its entities; all else keeps its place."""
+    return f"""aggregate({base}, struct(0 AS at, '' AS out),
+        (a, x) -> IF(x.end > a.at,
+            struct(x.end AS at, concat(a.out, substring({text}, a.at + 1, greatest(x.start - a.at, 0)), regexp_replace(substring({text}, greatest(x.start, a.at) + 1, x.end - greatest(x.start, a.at)), '[A-Za-z]', '{MARK}')) AS out),
+            struct(a.at AS at, a.out AS out)),
+        a -> concat(a.out, substring({text}, a.at + 1)))"""
 
 
 def examined(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """(id, th, base) of each document, and (id, th, kind, entity, words) of each of its spans; no text."""
+    """(id, th, base) of each document; and of each with spans (id, th, marked, copy, entities, words): its text with marks, a hash that copies share, and its different entities and words."""
     slim = docs.select(F.col(id_col).alias("id"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("th"), F.col(text).alias("text"))
     based = with_base(slim, "text")
-    entity = "IF(x.kind = 0, lower(x.value), regexp_replace(x.value, '[^0-9.]', ''))"
-    beside = based.where("size(_base) > 0").select("id", "th", "_text", "_base", F.explode("_base").alias("x"))
-    beside = beside.select("id", "th", F.col("x.kind").alias("kind"), F.expr(entity).alias("entity"), words_beside("left").alias("l"), words_beside("right").alias("r"))
-    return based.select("id", "th", F.col("_base").alias("base")), beside.select("id", "th", "kind", "entity", F.concat("l", "r").alias("words"))
+    entities = "array_sort(array_distinct(transform(_base, x -> struct(x.kind AS kind, IF(x.kind = 0, lower(x.value), regexp_replace(x.value, '[^0-9.]', '')) AS entity))))"
+    held = based.where("size(_base) > 0").withColumns({"entities": F.expr(entities), "marked": F.expr(marked("_text", "_base"))})
+    words = f"""array_distinct(transform(filter(regexp_extract_all(marked, r"{TOKEN}", 0), w -> NOT contains(w, '{MARK}')), w -> lower(w)))"""
+    copy = F.xxhash64(F.lower(F.regexp_replace("_text", r"\s+", " ")), "entities")
+    return based.select("id", "th", F.col("_base").alias("base")), held.select("id", "th", "marked", copy.alias("copy"), "entities", F.expr(words).alias("words"))
 
 
-def disclosing(docs: DataFrame, beside: DataFrame, text: str, disclosure: float, contexts: int) -> DataFrame:
+def few(df: DataFrame) -> DataFrame:
+    """df, broadcast when its rows are few."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def disclosing(docs: DataFrame, held: DataFrame, text: str, disclosure: float, contexts: int) -> DataFrame:
     """(kind, entity, term, level): terms over the threshold for an entity; level is PMI / IC."""
-    n = docs.count()
-    context = F.xxhash64(F.expr("transform(words, w -> w.value)"))
-    rows = beside.select("id", "th", "kind", "entity", context.alias("context"), F.explode(F.expr("array_distinct(transform(words, w -> lower(w.value)))")).alias("term"))
-    pairs = rows.groupBy("kind", "entity", "term").agg(F.count_distinct("context").alias("contexts"), F.count_distinct(F.struct("id", "th")).alias("n_te"))
-    pairs = cut(pairs.where(F.col("contexts") >= contexts))
-    n_e = beside.groupBy("kind", "entity").agg(F.count_distinct(F.struct("id", "th")).alias("n_e"))
+    n = float(docs.count())
+    # a row for each text, with the number of its copies
+    copies = stored(held.groupBy("copy").agg(F.count("*").alias("w"), F.first("entities").alias("entities"), F.first("words").alias("words")))
+    entities = copies.select("copy", "w", F.explode("entities").alias("x")).select("copy", "w", "x.*")
+    n_e = entities.groupBy("kind", "entity").agg(F.sum("w").alias("n_e"), F.count("*").alias("seen"))
+    n_e = cut(n_e.where((F.col("seen") >= contexts) & (F.col("n_e") < n)).drop("seen"))
+    least, most = n_e.agg(F.min("n_e"), F.max("n_e")).first()
+    if least is None:
+        return n_e.select("kind", "entity", F.lit("").alias("term"), F.lit(0.0).alias("level")).limit(0)
+    entities = cut(entities.join(few(n_e), ["kind", "entity"]).select("copy", "kind", "entity", "n_e"))
+    sharing = copies.join(entities.select("copy").distinct(), "copy", "left_semi").select("copy", "w", F.explode("words").alias("term"))
+    # the level can reach the threshold only if n_te / n_t >= (n_e / n) ** (1 - disclosure), and n_t <= n ** (1 - disclosure) * n_e ** disclosure
+    slack = 1 - 1e-9
+    within = sharing.groupBy("term").agg(F.sum("w").alias("n_tf"), F.count("*").alias("seen")).where(F.col("seen") >= contexts)
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))).alias("term"))
     # every word's document frequency, summed within tasks first, so that no join sees a row for each occurrence
     n_t = words.groupBy("term").agg(F.count("*").alias("n_t"))
-    level = F.log(F.lit(float(n)) * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(float(n)) / F.col("n_e"))
-    found = pairs.join(n_t, "term").join(n_e, ["kind", "entity"]).where(F.col("n_e") < n)
-    return found.select("kind", "entity", "term", level.alias("level")).where(F.col("level") >= disclosure)
-
-
-def term_spans(beside: DataFrame, terms: DataFrame) -> DataFrame:
-    """(id, th, terms): the places of disclosing terms beside their entities, as structs (start, kind, end, value); value is what stands there instead."""
-    rows = beside.select("id", "th", "kind", "entity", F.explode("words").alias("w")).withColumn("term", F.lower("w.value"))
-    instead = F.when(F.col("level") >= 1 - 1e-9, "").when(F.expr(r"w.value rlike r'^\p{Lu}'"), "[NAME]").otherwise("[TERM]")
-    rows = rows.join(terms, ["kind", "entity", "term"]).select("id", "th", F.col("w.start").alias("start"), F.lit(len(KINDS)).alias("kind"), F.col("w.end").alias("end"), instead.alias("value"))
-    rows = rows.groupBy("id", "th", "start", "kind", "end").agg(F.min("value").alias("value"))
-    return rows.groupBy("id", "th").agg(F.sort_array(F.collect_set(F.struct("start", "kind", "end", "value"))).alias("terms"))
+    possible = (F.col("n_tf") >= F.col("n_t") * (slack * (least / n) ** (1 - disclosure))) & (F.col("n_t") * slack <= n ** (1 - disclosure) * most**disclosure)
+    rare = cut(n_t.join(within, "term").where(possible).select("term", "n_t"))
+    pairs = sharing.join(few(rare), "term").join(entities, "copy").where(F.col("n_t") * slack <= n ** (1 - disclosure) * F.pow("n_e", F.lit(disclosure)))
+    pairs = pairs.groupBy("kind", "entity", "term").agg(F.sum("w").alias("n_te"), F.count("*").alias("seen"), F.first("n_t").alias("n_t"), F.first("n_e").alias("n_e"))
+    level = F.log(F.lit(n) * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(n) / F.col("n_e"))
+    return pairs.where(F.col("seen") >= contexts).select("kind", "entity", "term", level.alias("level")).where(F.col("level") >= disclosure)
+
+
+def term_spans(held: DataFrame, terms: DataFrame) -> DataFrame:
+    """(id, th, terms): all places of disclosing terms in documents that hold their entities, as structs (start, kind, end, value); value is what stands there instead."""
+    levels = held.select("id", "th", F.explode("entities").alias("x"), "words").select("id", "th", "x.*", "words")
+    own = terms.groupBy("kind", "entity").agg(F.map_from_entries(F.collect_list(F.struct("term", "level"))).alias("own"))
+    levels = levels.join(few(cut(own)), ["kind", "entity"]).select("id", "th", F.explode(F.expr("filter(transform(words, w -> struct(w AS term, own[w] AS level)), x -> x.level IS NOT NULL)")).alias("x"))
+    levels = levels.groupBy("id", "th", "x.term").agg(F.max("x.level").alias("level"))
+    levels = levels.groupBy(F.col("id").alias("_i"), F.col("th").alias("_t")).agg(F.map_from_entries(F.collect_list(F.struct("term", "level"))).alias("levels"))
+    rows = held.dropDuplicates(["id", "th"]).join(levels, F.col("id").eqNullSafe(F.col("_i")) & (F.col("th") == F.col("_t")))
+    found = f'regexp_extract_all(marked, r"{TOKEN}", 0)'
+    places = rf"""aggregate(zip_with({found}, split(marked, r"{TOKEN}", -1), (m, g) -> struct(m AS m, length(g) AS g)),
+        struct(0 AS at, CAST(array() AS ARRAY<STRUCT<start: INT, kind: INT, end: INT, value: STRING>>) AS all),
+        (acc, x) -> struct(acc.at + x.g + coalesce(length(x.m), 0) AS at, IF(x.m IS NULL OR levels[lower(x.m)] IS NULL, acc.all, array_append(acc.all, struct(
+            acc.at + x.g AS start, {len(KINDS)} AS kind, acc.at + x.g + length(x.m) AS end,
+            CASE WHEN levels[lower(x.m)] >= 1 - 1e-9D THEN '' WHEN x.m rlike r'^\p{{Lu}}' THEN '[NAME]' ELSE '[TERM]' END AS value))) AS all),
+        acc -> acc.all)"""
+    return rows.select("id", "th", F.expr(places).alias("terms"))
 
 
 def with_terms(rows: DataFrame, spans: DataFrame) -> DataFrame:
@@ -139,9 +165,9 @@ def every_span() -> Column:
 
 def found_spans(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", disclosure: float = DISCLOSURE, contexts: int = CONTEXTS) -> tuple[DataFrame, DataFrame]:
     """(id, th, base) and (id, th, terms) of docs."""
-    base, beside = examined(docs, id_col, text)
-    beside = stored(beside)
-    return base, term_spans(beside, cut(disclosing(docs, beside, text, disclosure, contexts)))
+    base, held = examined(docs, id_col, text)
+    held = stored(held)
+    return base, term_spans(held, cut(disclosing(docs, held, text, disclosure, contexts)))
 
 
 def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", disclosure: float = DISCLOSURE, contexts: int = CONTEXTS) -> DataFrame:

@@ -1,5 +1,6 @@
 """Each operator against a brute-force version, and its defined edge cases."""
 
+import math
 import random
 import re
 import zlib
@@ -96,6 +97,48 @@ def test_terms_that_disclose_an_entity_go(spark):
     assert all("Unseenword" in found[200 + k].clean_text for k in range(9)), "one context, however often copied, discloses nothing"
 
 
+def test_terms_disclose_wherever_they_stand(spark):
+    rng = random.Random(2)
+    filler = lambda: " ".join(rng.choice(WORDS) for _ in range(30))
+    # far from the entity, twice; in one fixed block; beside an entity that isn't its own
+    docs = [(k, f"Farlax {filler()}. Mail far@example.org {filler()} {filler()} farlax-é") for k in range(6)]
+    docs += [(20 + k, f"{filler()}\nRegards, Blocklax\nblock@example.org") for k in range(6)]
+    docs += [(40 + k, f"{filler()} Often {filler()} often@example.org") for k in range(4)] + [(60 + k, f"Often {filler()}") for k in range(40)]
+    docs += [(200 + k, f"copied  Unseenword {'BY' if k % 2 else 'by'} copy@example.org") for k in range(9)] + [(300 + k, filler()) for k in range(60)]
+    found = {r.doc_id: r for r in private.sanitise(frame(spark, docs)).collect()}
+    for k, text in docs:
+        want = re.sub(r"[a-z]+@example\.org", "[EMAIL]", text)
+        if k < 40:
+            want = want.replace("Farlax", "").replace("farlax-é", "").replace("Blocklax", "").replace("Regards", "")
+        if k < 20:
+            want = want.replace("Mail", "")
+        assert found[k].clean_text == want, k
+
+
+def test_levels_are_brute_force(spark):
+    rng = random.Random(3)
+    names = [f"{a}{b}" for a in "bcdfgh" for b in ("ana", "olo", "uru")]
+    docs = []
+    for k in range(200):
+        who = rng.choice(names)
+        text = " ".join([*rng.choices(WORDS, k=5), who if rng.random() < 0.9 else rng.choice(names), *rng.choices(WORDS, k=40), *([f"{who}@x.org"] if rng.random() < 0.9 else []), *(["all@x.org"] if rng.random() < 0.4 else [])])
+        docs += [(len(docs) + c, text) for c in range(rng.choice([1, 1, 1, 4]))]
+    n, held = len(docs), [(set(re.findall(r"\S+@x.org", t)), {w for w in t.split() if "@" not in w}, set(re.findall(r"\w+", t)), t) for _, t in docs]
+    want = {}
+    for e in {e for es, *_ in held for e in es}:
+        for t in {t for _, ts, *_ in held for t in ts}:
+            both = [x for es, ts, _, x in held if e in es and t in ts]
+            if len(set(both)) >= 3:
+                n_e, n_t = sum(e in es for es, *_ in held), sum(t in every for _, _, every, _ in held)
+                level = math.log(n * len(both) / (n_t * n_e)) / math.log(n / n_e)
+                if level >= 0.6:
+                    want[e, t] = round(level, 9)
+    table = frame(spark, docs)
+    _, rows = private.examined(table, "doc_id", "text")
+    found = private.disclosing(table, rows.cache(), "text", 0.6, 3).collect()
+    assert {(r.entity, r.term): round(r.level, 9) for r in found} == want and want
+
+
 def test_private_takes_edges(spark):
     rows = [(i, t, "s") for i, t in [*EDGE, (9, "mail me@x.org"), (9, "mail me@x.org")]]
     found = private.sanitise(frame(spark, rows, "doc_id long, text string, Spans string"))
