@@ -1,6 +1,7 @@
 """Two-pass external shuffle into shards.
 
-Pass one scatters rows uniformly into buckets that fit a task's memory, by a seeded hash. Pass two gives each bucket
+Pass one scatters rows uniformly into buckets that fit a task's memory, by a seeded hash of key and row; equal rows
+are numbered first, so that neither a repeated key nor a repeated row fills a bucket. Pass two gives each bucket
 a Fisher-Yates permutation of its places: Spark's `shuffle` of the sequence of places, from a generator seeded by
 the seed and the bucket range's task, over a fixed layout of tasks. The permutation depends on the seed and the buckets' sizes
 only, so the same input gives the same order however often a task is run again. Buckets one after another are one
@@ -13,12 +14,16 @@ result; columns of the input that bear an added column's name are replaced.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+import uuid
 
-from .common import BROADCAST_ROWS, cut, without
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from .common import BROADCAST_ROWS, cut, shared_dir, without
 
 #: Bytes of rows that one bucket may hold, and how many buckets one task permutes.
 BUCKET_BYTES, BUCKETS_A_TASK = 64_000_000, 16
+#: Equal rows that one task makes from a row and their number.
+COPIES = 10_000
 ADDED = ["shard", "slot"]
 
 
@@ -34,17 +39,42 @@ def permuted(sizes: DataFrame, buckets: int, seed: int) -> DataFrame:
     return cut(sized.select("bucket", F.posexplode(order).alias("slot", "place")))
 
 
+def row_bytes(docs: DataFrame) -> Column:
+    """Bytes of a row: what its texts and nested values hold, and 8 for each column."""
+    sizes = [F.lit(8 * len(docs.columns)).cast("long")]
+    for f in docs.schema:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)))
+        elif isinstance(f.dataType, (T.ArrayType, T.StructType)):
+            sizes.append(F.coalesce(F.octet_length(F.to_json(F.struct(f"`{f.name}`"))), F.lit(0)))
+    return sum(sizes[1:], sizes[0])
+
+
+def scatter(docs: DataFrame, buckets: int, *, key: str = "doc_id", seed: int = 42) -> DataFrame:
+    """docs with _row (hash of the row) and _bucket. Rows that are equal are counted, and made again with a number each."""
+    columns = [f"`{c}`" for c in docs.columns]
+    rows = docs.withColumn("_row", F.xxhash64(*[F.col(c) for c in columns]))
+    repeated = cut(rows.groupBy("_row").agg(F.count("*").alias("n")).where("n > 1").select(F.col("_row").alias("_again")))
+    if repeated.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        repeated = F.broadcast(repeated)
+    same = F.col("_row") == F.col("_again")
+    once = rows.join(repeated, same, "left_anti").withColumn("_copy", F.lit(0).cast("long"))
+    again = rows.join(repeated, same, "left_semi").groupBy(*columns, "_row").agg((F.count("*") - 1).alias("_last"))
+    again = again.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last"), F.lit(COPIES).cast("long"))))
+    again = again.repartition("_row", "_from").withColumn("_copy", F.explode(F.sequence("_from", F.least("_last", F.col("_from") + COPIES - 1))))
+    every = once.unionByName(again.select(*columns, "_row", "_copy"))
+    return every.withColumn("_bucket", F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col("_row"), F.col("_copy")), F.lit(buckets))).drop("_copy")
+
+
 def shuffled(docs: DataFrame, shards: int, *, key: str = "doc_id", size: str | None = None, seed: int = 42, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """docs with shard (0 to shards - 1) and slot (gapless from 0 in each shard).
 
-    size: a column with each row's bytes, from which the number of buckets follows; None counts 1 kB for each row.
+    size: a column with each row's bytes, from which the number of buckets follows; None counts the bytes of its values.
     """
     docs = without(docs, ADDED)
-    total = docs.agg(F.count("*").alias("n"), F.sum(F.col(size) if size else F.lit(1024)).alias("b")).first()
+    total = docs.agg(F.count("*").alias("n"), F.sum(F.col(size) if size else row_bytes(docs)).alias("b")).first()
     n, buckets = total.n, max(1, -(-int(total.b or 0) // bucket_bytes))
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    salted = F.xxhash64(F.lit(seed), F.col(key), F.when(F.col(key).isNull(), row))
-    scattered = docs.withColumns({"_bucket": F.pmod(salted, F.lit(buckets)), "_row": row})
+    scattered = scatter(docs, buckets, key=key, seed=seed)
     sizes = cut(scattered.groupBy("_bucket").agg(F.count("*").alias("n")).withColumnRenamed("_bucket", "bucket"))
     # a row per bucket: the running sum over all buckets is small
     offsets = sizes.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("offset"))
@@ -66,7 +96,10 @@ def write_shards(docs: DataFrame, path: str, shards: int, **settings) -> None:
 
 
 def op8_shuffled_shards(spark, sf_dir: str) -> DataFrame:
+    """The documents written as 40 shards, whole; size, checksum and place of each are read back from the shards."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    slim = docs.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"), F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"))
-    out = shuffled(slim, 40, size="size")
-    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    path = f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}"
+    write_shards(docs, path, 40)
+    back = spark.read.schema(T.StructType([*docs.schema.fields, T.StructField("slot", T.LongType()), T.StructField("shard", T.IntegerType())])).parquet(path)
+    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size")
+    return back.select("doc_id", size, F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, and its defined edge cases."""
 
 import math
+import os
 import random
 import re
 import zlib
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sourcefold.llm import bpe, chat, decontamination, licences, neardup, private, quality, shuffling, substrings, tokenfiles
+from sourcefold.llm.common import shared_dir
 
 from .brute import brute_classes, brute_counts, brute_hits, brute_removed, brute_spans
 
@@ -305,6 +307,26 @@ def test_shards_are_even_whole_and_repeatable(spark, tmp_path):
     assert place(spark.read.parquet(str(tmp_path / "s")).collect()) == place(one)
 
 
+def test_no_key_or_row_fills_a_bucket(spark):
+    docs = frame(spark, [(7, f"text {k}") for k in range(1000)] + [(8, "equal")] * 1000 + [(None, None)] * 1000)
+    sizes = [r["count"] for r in shuffling.scatter(docs, 30).groupBy("_bucket").count().collect()]
+    assert sum(sizes) == 3000 and len(sizes) == 30 and max(sizes) < 160
+    long = frame(spark, [(k, "x" * 10_000) for k in range(20)])
+    assert long.agg(F.sum(shuffling.row_bytes(long))).first()[0] == 20 * 10_016
+
+
+def test_shards_hold_whole_documents(spark, tmp_path):
+    rows = [(k, f"text {k}" * 50) for k in range(300)] + [(5, "equal")] * 30 + [(None, None)]
+    frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    before = set(os.listdir(shared_dir(spark)))
+    found = shuffling.op8_shuffled_shards(spark, str(tmp_path)).collect()
+    (path,) = [p for p in set(os.listdir(shared_dir(spark))) - before if p.startswith("shards-")]
+    written = spark.read.parquet(f"{shared_dir(spark)}/{path}").collect()
+    assert sorted(((r.doc_id, r.text) for r in written), key=str) == sorted(rows, key=str)
+    assert sorted((r.doc_id or -1, r.shard, r.slot) for r in written) == sorted((r.doc_id or -1, r.shard, r.slot) for r in found)
+    assert len({(r.shard, r.slot) for r in found}) == len(rows)
+
+
 def test_every_place_is_reached_about_as_often(spark):
     counts = np.zeros((6, 6))
     for seed in range(40):
