@@ -2,10 +2,11 @@
 
 A merge can only ever join symbols that stand side by side inside some vocabulary token. Two neighbouring bytes that
 no token holds side by side therefore mark a certain cut: the word is split there, the fragments are encoded
-independently (and remembered: few fragments make up most text), and their ids are concatenated.
+independently, and their ids are concatenated. Words are remembered, since few words make up most text.
 
 Normalising and splitting into words follow the tokenizer's own file: special tokens are taken out of the raw text
-first; white space never joins two words, so each run of other characters is normalised, split and encoded alone.
+first; white space never joins two words, so each run of other characters can be normalised and split alone. Text of
+simple characters (below U+0180) is its own normal form and is split by a pattern without the library.
 
 Defined cases: null and empty texts have no tokens and decode to the empty text; repeated rows are encoded alike;
 the strings of special tokens inside a text give the special ids, as the library does; empty tables give empty
@@ -21,18 +22,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import Memo, sliced, without
 
 #: The characters with the Unicode property White_Space.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: Characters below this one are their own normal form and have had their properties since long.
-SIMPLE = "\u0180"
+#: The letters and numbers below U+0180, and whatever lies beyond.
+LETTERS, NUMBERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc\xbd\xbe"
+OTHER = re.compile("[^\x00-\u017f]")
 #: Byte-level tokenizers write each byte as a printable character: itself where it is one, else the next from U+0100 on.
 _printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTES = dict(zip([b for b in range(256) if b not in _printable], map(chr, range(256, 512))))
+CHARS = {ord(c): b for b, c in BYTES.items()}
 _loaded: dict = {}
 
 
@@ -69,20 +71,24 @@ class Codec:
             if pairs:
                 self.beside.update(pairs[:-1] if ends else pairs)
                 self.beside_last.update(pairs[-1:] if ends or not self.suffix else [])
-        self.words = self._simple_split(spec)
-        self.pieces = Memo(self._piece, 60_000)
-        self.chunks = Memo(self._chunk, 120_000)
+        self.split_simple = self._simple_split(spec)
+        self.words = Memo(self._word, 150_000)
+        self.pieces = Memo(self._piece, 20_000)
+        self.chunks = Memo(self._chunk, 20_000)
         self.chunk = re.compile(f"[^{WHITE}]+")
         self.decimal = np.array([str(i) for i in range(len(self.strings))], object)
 
     @staticmethod
     def _simple_split(spec: dict):
-        """The word pattern, for files of the usual form: text of simple characters then needs no library to be split."""
+        """The word pattern for lower-cased simple text, for files of the usual form."""
         split, *rest = (spec["pre_tokenizer"] or {}).get("pretokenizers", [None])
         usual = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
         if not usual or split is None or split["type"] != "Split" or split["behavior"] != "Removed" or not split["invert"] or [(r["type"], r["use_regex"], r["add_prefix_space"]) for r in rest] != [("ByteLevel", False, False)]:
             return None
-        return regex.compile(split["pattern"]["Regex"].replace("\\s", WHITE))
+        pattern = split["pattern"]["Regex"]
+        for written, simple in (("[^\\s\\p{L}\\p{N}]", f"[^{WHITE}{LETTERS}{NUMBERS}]"), ("[\\p{L}]", f"[{LETTERS}]"), ("[\\p{N}]", f"[{NUMBERS}]")):
+            pattern = pattern.replace(written, simple)
+        return None if "\\" in pattern.replace(WHITE, "") else re.compile(pattern)
 
     def fragments(self, word: str) -> list[str]:
         """The word cut wherever two neighbours never stand side by side inside a token."""
@@ -94,33 +100,39 @@ class Codec:
             return [word]
         return [word[a:b] for a, b in zip([0, *cuts], [*cuts, end + 1])]
 
-    def _piece(self, key: tuple[str, bool]) -> tuple[int, ...]:
+    def _piece(self, key: tuple[str, bool]) -> list[int]:
         fragment, last = key
-        return tuple(t.id for t in (self.last if last else self.inner).tokenize(fragment))
-
-    def _words(self, text: str) -> list[int]:
-        out: list[int] = []
-        if self.words and max(text) < SIMPLE:
-            words = [w.encode().decode("latin-1").translate(BYTES) for w in self.words.findall(text.lower())]
-        else:
-            words = [w for w, _ in self.split.pre_tokenize_str(self.normalise.normalize_str(text))]
-        for word in words:
-            parts = self.fragments(word)
-            for k, part in enumerate(parts, 1):
-                out += self.pieces[part, k == len(parts)]
-        return out
+        return [t.id for t in (self.last if last else self.inner).tokenize(fragment)]
+
+    def _word(self, word: str) -> bytes:
+        """Packed ids of a normalised word."""
+        *parts, end = self.fragments(word.encode().decode("latin-1").translate(BYTES))
+        ids = [x for part in parts for x in self.pieces[part, False]]
+        return np.array(ids + (self.pieces[end, True] if parts else self._piece((end, True))), "<u4").tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        out, done = [], 0
-        for m in self.special.finditer(chunk):
-            out += [*(self._words(chunk[done : m.start()]) if m.start() > done else ()), self.specials[m[0]]]
-            done = m.end()
-        return np.array([*out, *(self._words(chunk[done:]) if done < len(chunk) else ())], "<u4").tobytes()
+        """Packed ids of characters between white space, without special tokens."""
+        if self.split_simple and not OTHER.search(chunk):
+            return self._simple(chunk)
+        words = self.split.pre_tokenize_str(self.normalise.normalize_str(chunk))
+        return b"".join([self.words[w.translate(CHARS).encode("latin-1").decode()] for w, _ in words])
+
+    def _simple(self, text: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, self.split_simple.findall(text.lower())))
+
+    def _plain(self, text: str) -> bytes:
+        """Packed ids of text without special tokens."""
+        if self.split_simple and not OTHER.search(text):
+            return self._simple(text)
+        return b"".join(map(self.chunks.__getitem__, self.chunk.findall(text)))
 
     def encode(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.empty(0, "<u4")
-        return np.frombuffer(b"".join(map(self.chunks.__getitem__, self.chunk.findall(text))), "<u4")
+        out, done = [], 0
+        for m in self.special.finditer(text or ""):
+            out += [self._plain(text[done : m.start()]), np.array([self.specials[m[0]]], "<u4").tobytes()]
+            done = m.end()
+        out.append(self._plain(text[done:] if done else text or ""))
+        return np.frombuffer(b"".join(out), "<u4")
 
     def decode(self, ids: np.ndarray) -> str:
         """The tokens' strings joined by one space: the file names no decoder."""

@@ -22,22 +22,26 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
 class Memo(dict):
-    """key -> make(key), kept up to a number of entries and then started afresh."""
+    """key -> make(key), in two generations of up to `limit` entries: what wasn't asked for during one is forgotten."""
 
-    def __init__(self, make, limit: int = 200_000):
+    def __init__(self, make, limit: int = 100_000):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.older = make, limit, {}
 
     def __missing__(self, key):
         if len(self) >= self.limit:
+            self.older = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
 
 def word_hashes() -> Memo:
     """64-bit hashes of byte strings, the same in every process."""
-    return Memo(xxhash.xxh64_intdigest, 80_000)
+    return Memo(xxhash.xxh64_intdigest, 50_000)
 
 
 def hashed(words: list[bytes], memo: Memo) -> np.ndarray:

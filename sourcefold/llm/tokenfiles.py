@@ -26,15 +26,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from .bpe import BYTES, WHITE
+from .bpe import BYTES, LETTERS, NUMBERS, OTHER, WHITE
 from .common import Memo, shared_dir, sliced, stored
 
 #: Lengths of the four numbers behind each control byte.
 LENGTHS = np.stack([(np.arange(256) >> s & 3) + 1 for s in (0, 2, 4, 6)], 1).astype(np.uint8)
 BLOCK_IDS = 1_000_000
-#: The letters and numbers below U+0180, and whatever lies beyond.
-LETTERS, NUMBERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc\xbd\xbe"
-OTHER = re.compile("[^\x00-\u017f]")
 _loaded: dict = {}
 
 
@@ -77,7 +74,7 @@ class Encoder:
         self.special = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         self.stretch = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
         self.kind = kind
-        self.memo = Memo(self._stretch, 100_000)
+        self.memo = Memo(self._stretch, 50_000)
         self.model = None
         spec = json.loads(source)
         plain = spec["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": spec["pre_tokenizer"].get("trim_offsets"), "use_regex": True}
@@ -85,7 +82,7 @@ class Encoder:
             # the word split of such files; text of simple characters then needs no more of the library than its model
             self.model = self.library.model
             self.split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{WHITE}{LETTERS}{NUMBERS}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
-            self.pieces = Memo(self._piece, 700_000)
+            self.pieces = Memo(self._piece, 350_000)
 
     def _piece(self, piece: str) -> bytes:
         return np.array([t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(BYTES))], self.kind).tobytes()
