@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import cut
+from .common import stored
 
 START, END = "<|start|>", "<|end|>\n"
 #: A backslash goes in after the first character of each of these.
@@ -41,16 +41,16 @@ def paths(nodes: DataFrame) -> DataFrame:
     """
     nodes = nodes.select("tree", "node", "parent")
     keys = nodes.select(F.col("tree").alias("_t"), F.col("node").alias("_n"))
-    above = cut(nodes.join(keys, nodes.tree.eqNullSafe(keys._t) & (nodes.parent == keys._n), "left").select("tree", "node", F.col("_n").alias("to")))
+    above = stored(nodes.join(keys, nodes.tree.eqNullSafe(keys._t) & (nodes.parent == keys._n), "left").select("tree", "node", F.col("_n").alias("to")))
     parents = above.where("to IS NOT NULL").select(F.col("tree").alias("_t"), F.col("to").alias("_n")).distinct()
     leaves = above.join(parents, above.tree.eqNullSafe(parents._t) & (above.node == parents._n), "left_anti")
-    found = cut(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).alias("up")))
+    found = stored(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).alias("up")))
     jump, step, size = above.where("to IS NOT NULL"), 1, above.count()
     while step <= size and not jump.isEmpty():
         hop = jump.select(F.col("tree").alias("_t"), F.col("node").alias("_n"), F.col("to").alias("_to"))
         more = found.join(hop, found.tree.eqNullSafe(hop._t) & (found.node == hop._n)).select("tree", "leaf", F.col("_to").alias("node"), (F.col("up") + step).alias("up"))
-        found = cut(found.union(more))
-        jump = cut(jump.join(hop, jump["tree"].eqNullSafe(hop._t) & (F.col("to") == hop._n)).select("tree", "node", F.col("_to").alias("to")))
+        found = stored(found.union(more))
+        jump = stored(jump.join(hop, jump["tree"].eqNullSafe(hop._t) & (F.col("to") == hop._n)).select("tree", "node", F.col("_to").alias("to")))
         step *= 2
     if step > size:  # what still has an ancestor so far up stands on a cycle, or hangs from one
         roots = above.where("to IS NULL").select(F.col("tree").alias("_t"), F.col("node").alias("_n"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -9,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Rows of a skinny table (ids, verdicts) up to which it may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
@@ -18,6 +19,7 @@ M1, M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 ODD = np.uint64(0x9E3779B97F4A7C15)
 S33, S29 = np.uint64(33), np.uint64(29)
 
+_made: dict[str, str] = {}
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -87,28 +89,53 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one made here where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="sourcefold-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local session, as in tests, gets one made where that is unset."""
+    context = spark.sparkContext
+    if context.applicationId not in _made:
+        found = spark.conf.get("spark.checkpoint.dir", None)
+        if not found and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
+        _made[context.applicationId] = (found or tempfile.mkdtemp(prefix="sourcefold-")).rstrip("/")
+    return _made[context.applicationId]
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows read from a reliable checkpoint, so that lost executors cost no recomputation."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed at the application's end: results are lazy, so no sooner."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The same rows read from a Parquet table in the shared folder."""
-    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    """The same rows read from a Parquet table in the shared folder, so that lost executors cost no recomputation.
+
+    Unlike a checkpoint's, its size is known to the planner: estimates don't multiply from round to round of a loop.
+    """
+    path = scratch(df.sparkSession, "table")
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def few(df: DataFrame) -> DataFrame:
+    """df, broadcast when its rows are few."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def join_counted(rows: DataFrame, keys: DataFrame, on: list[str], n: str) -> DataFrame:
+    """rows joined with keys, a table of one row per key that holds the number n of its rows.
+
+    Where the keys are many, those with over a thousandth of all rows, at most 1,000 therefore, are broadcast, so that
+    no task gets all rows of a frequent key.
+    """
+    if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(keys), on)
+    often = F.col(n) * 1000 > (keys.agg(F.sum(n)).first()[0] or 0)
+    many = keys.where(often)
+    rare = rows.join(F.broadcast(many.select(*on)), on, "left_anti").join(keys.where(~often), on)
+    return rows.join(F.broadcast(many), on).unionByName(rare)
+
+
 def without(docs: DataFrame, names: list[str]) -> DataFrame:
     """docs less the columns that an operator is about to add; names match as Spark matches them, without case."""
     taken = {n.lower() for n in names}

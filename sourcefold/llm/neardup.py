@@ -4,15 +4,15 @@ Each of `hashes` permutations of a document's shingle set gives two signature va
 half the hash evaluations make a signature of full length. Bands of `rows` values bring documents together; links are
 confirmed on the full sets.
 
-Documents with equal sets are one representative. Inside a band's bucket, pairs aren't listed: every member is
-compared with one pivot. What that leaves open (buckets that still hold several components) is settled exactly
-without listing all pairs: shingles of those documents are counted; pairs that share a rare shingle are found by that
-shingle, and a pair that shares none can be linked only if the smaller count of common shingles is large enough,
-which the join tests before it makes a row.
+Documents with equal sets are one node. Inside a band's bucket, pairs aren't listed: every member is compared with one
+pivot, then the members that are still apart with the one that has most common shingles. What that leaves apart is
+settled exactly by prefixes: of two linked sets, put in order from the rarest shingle to the commonest, the first
+n - ceil(threshold * n) + 1 of each share one, so only nodes of different components that share such a shingle, and
+whose sizes and places in the order allow the link, are compared.
 
 Defined cases: a null or empty text, or one without words, has no shingle, is linked with nothing and kept; so is a
-row with a null id, whose component is null; rows that repeat an id belong to one class; ties go to the smallest id;
-empty tables give empty results; columns of the input that bear an added column's name are replaced.
+row with a null id, whose component is null; rows that repeat an id belong to one class with all their texts; ties go
+to the smallest id; empty tables give empty results; columns of the input that bear an added column's name are replaced.
 """
 
 from __future__ import annotations
@@ -23,14 +23,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import BROADCAST_ROWS, LOWER, cut, gram_hashes, hashed, joined, mix, sliced, stored, without, word_hashes
+from .common import BROADCAST_ROWS, LOWER, few, gram_hashes, hashed, join_counted, joined, mix, sliced, stored, without, word_hashes
 from .components import components
 
 HASHES, ROWS = 75, 5
-#: A shingle of at most so many open documents is rare.
+#: A shingle of more open nodes than this is common.
 RARE = 64
-#: Members of one pivot that are compared in one group of rows.
-GROUP = 256
+#: Members of one pivot that are compared in one group of rows, and nodes of one shingle that one task pairs with others.
+GROUP, BLOCK = 256, 512
 _memo = word_hashes()
 
 
@@ -63,44 +63,46 @@ def bands(items: np.ndarray, a: np.ndarray, b: np.ndarray, rows: int) -> np.ndar
     return keys.view(np.int64)
 
 
+def text_mark(text: str):
+    """A hash that tells the texts of rows that repeat an id apart."""
+    return F.coalesce(F.xxhash64(text), F.lit(0))
+
+
 def signatures(docs: DataFrame, id_col: str, text: str, shingle: int, hashes: int, rows: int) -> DataFrame:
-    """(id, n_shingles, set_hash, keys) of each document."""
+    """(id, th, n_shingles, one, two, keys) of each document: mark of the text, two hashes of the set, and the bands' keys."""
     a, b = permutations(hashes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             sizes, one, two, keys = [], [], [], []
-            for value in batch.column(1):
+            for value in batch.column(2):
                 items = shingle_set(value.as_py(), shingle)
                 sizes.append(len(items))
                 one.append(int(np.bitwise_xor.reduce(mix(items)).view(np.int64)) if len(items) else None)
                 two.append(int(mix(items ^ np.uint64(7)).sum(dtype=np.uint64).view(np.int64)) if len(items) else None)
                 keys.append(bands(items, a, b, rows) if len(items) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "n_shingles", "one", "two", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "th", "n_shingles", "one", "two", "keys"])
 
-    fields = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_shingles", T.LongType()), T.StructField("one", T.LongType()), T.StructField("two", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
-    return docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).mapInArrow(run, fields)
+    fields = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *(T.StructField(c, T.LongType()) for c in ("th", "n_shingles", "one", "two")), T.StructField("keys", T.ArrayType(T.LongType()))])
+    return docs.select(F.col(id_col).alias("id"), text_mark(text).alias("th"), F.col(text).alias("text")).mapInArrow(run, fields)
 
 
-def fetched(docs: DataFrame, need: DataFrame) -> DataFrame:
-    """need (id, ...) with the documents' texts; need is broadcast when it is small, else both sides shuffle."""
-    if need.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        need = F.broadcast(need)
-    return docs.join(need, "id")
+def fetched(docs: DataFrame, nodes: DataFrame, need: DataFrame) -> DataFrame:
+    """need (node, ...) with the texts of docs (id, th, text); need is broadcast when it is small, else both sides shuffle."""
+    return docs.join(few(stored(need.join(few(nodes.select("node", "id", "th")), "node"))), ["id", "th"])
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, shingle: int, threshold: int) -> DataFrame:
-    """Those of the pairs (a, b) whose full sets have a Jaccard similarity of at least threshold percent."""
-    pairs = cut(pairs)
-    groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).alias("_g"))
-    dealt = cut(pairs.join(groups, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("_g")).cast("int").alias("salt")))
-    heads = dealt.select(F.col("a").alias("id"), "a", "salt", F.lit(0).alias("role")).distinct()
-    need = cut(heads.unionByName(dealt.select(F.col("b").alias("id"), "a", "salt", F.lit(1).alias("role"))))
+def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, threshold: int) -> DataFrame:
+    """Those of the pairs (a, b) of nodes whose full sets have a Jaccard similarity of at least threshold percent."""
+    groups = stored(pairs.groupBy("a").agg(F.count("*").alias("_n")))
+    dealt = stored(join_counted(pairs, groups, ["a"], "_n").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("_n") / GROUP)).cast("int").alias("salt")))
+    heads = dealt.select(F.col("a").alias("node"), "a", "salt", F.lit(0).alias("role")).distinct()
+    need = heads.unionByName(dealt.select(F.col("b").alias("node"), "a", "salt", F.lit(1).alias("role")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, head = None, np.empty(0, np.uint64)
         for batch in sliced(batches):
-            a, salt, role, ids = (batch.column(k).to_pylist() for k in range(4))
+            a, salt, role, node = (batch.column(k).to_pylist() for k in range(4))
             out: list[tuple] = []
             for k, value in enumerate(batch.column(4)):
                 own = shingle_set(value.as_py(), shingle)
@@ -110,45 +112,76 @@ def confirmed(docs: DataFrame, pairs: DataFrame, shingle: int, threshold: int) -
                     place = np.minimum(np.searchsorted(head, own), len(head) - 1)
                     shared = int((head[place] == own).sum())
                     if 100 * shared >= threshold * (len(head) + len(own) - shared):
-                        out.append((a[k], ids[k]))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], batch.schema.field(0).type), pa.array([x[1] for x in out], batch.schema.field(0).type)], names=["a", "b"])
+                        out.append((a[k], node[k]))
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["a", "b"])
 
-    rows = fetched(docs, need).select("a", "salt", "role", "id", "text").repartition("a", "salt").sortWithinPartitions("a", "salt", "role", "id")
-    kind = pairs.schema["a"].dataType
-    return cut(rows.mapInArrow(run, T.StructType([T.StructField("a", kind), T.StructField("b", kind)])))
+    rows = fetched(docs, nodes, need).select("a", "salt", "role", "node", "text").repartition("a", "salt").sortWithinPartitions("a", "salt", "role", "node")
+    return stored(rows.mapInArrow(run, "a long, b long"))
 
 
 def open_members(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """(key, id, comp) of the buckets of three or more members that hold several components."""
-    own = members.join(classes.select(F.col("node").alias("id"), "comp"), "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
-    some = own.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.count("*").alias("comps"), F.sum("n").alias("n")).where("comps > 1 AND n > 2").select("key")
-    return cut(own.join(some, "key"))
+    """(key, node, comp, m) of the buckets of three or more members that hold several components; m: members."""
+    own = members.join(few(classes.select(F.col("node").alias("_n"), "comp")), F.col("node") == F.col("_n"), "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
+    some = own.groupBy("key", "comp").agg(F.count("*").alias("m")).groupBy("key").agg(F.count("*").alias("comps"), F.sum("m").alias("m")).where("comps > 1 AND m > 2").select("key", "m")
+    return stored(join_counted(own, stored(some), ["key"], "m"))
 
 
-def possible(shared, a: str, b: str, threshold: int):
-    """Whether sets of sizes n_a and n_b can be linked that share at most so many shingles."""
-    return F.lit(100) * shared >= F.lit(threshold) * (F.col(f"n_{a}") + F.col(f"n_{b}") - shared)
+def prefixes(docs: DataFrame, nodes: DataFrame, opened: DataFrame, shingle: int, threshold: int) -> DataFrame:
+    """(node, n, common, prefix) of the open nodes.
 
-
-def rest_pairs(docs: DataFrame, opened: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame]:
-    """Of the open documents: (id, n, common) counts, and (id, s) rows of their rare shared shingles."""
-    kind = opened.schema["id"].dataType
+    common: how many of the n shingles stand in more than RARE of them. prefix: those of the first n - ceil(threshold
+    * n) + 1 shingles, from the rarest on, that stand in several, as structs (place in the order, s).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            for i, value in zip(batch.column(0), batch.column(1)):
+            for node, value in zip(batch.column(0), batch.column(1)):
                 items = shingle_set(value.as_py(), shingle)
                 if len(items):
-                    yield pa.RecordBatch.from_arrays([pa.array([i.as_py()] * len(items), batch.schema.field(0).type), pa.array(items.view(np.int64))], names=["id", "s"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(items), node.as_py())), pa.array(items.view(np.int64))], names=["node", "s"])
 
-    ids = opened.select("id").distinct()
-    rows = stored(fetched(docs, cut(ids)).select("id", "text").mapInArrow(run, T.StructType([T.StructField("id", kind), T.StructField("s", T.LongType())])))
-    counts = rows.groupBy("s").agg(F.count("*").alias("df"))
-    common = counts.where(F.col("df") > RARE).select("s")
-    sizes = rows.groupBy("id").agg(F.count("*").alias("n"))
-    shared = rows.join(common, "s").groupBy("id").agg(F.count("*").alias("common"))
-    sizes = cut(sizes.join(shared, "id", "left").select("id", "n", F.coalesce("common", F.lit(0)).alias("common")))
-    return sizes, rows.join(counts.where((F.col("df") > 1) & (F.col("df") <= RARE)).select("s"), "s")
+    rows = stored(fetched(docs, nodes, opened.select("node").distinct()).select("node", "text").mapInArrow(run, "node long, s long"))
+    often = stored(rows.groupBy("s").agg(F.count("*").alias("df")).where("df > 1"))
+    # a set, since rows that repeat both id and text are read twice
+    held = join_counted(rows, often, ["s"], "df").groupBy("node").agg(F.sort_array(F.collect_set(F.struct("df", "s"))).alias("shared"))
+    held = nodes.select("node", "n").join(held, "node").withColumn("first", F.col("n") - F.size("shared"))
+    place = F.transform("shared", lambda x, i: F.struct((F.col("first") + i).alias("place"), x["s"].alias("s")))
+    # whole numbers: n - ceil(threshold * n / 100) + 1 - first
+    size = F.greatest(F.floor(F.col("n") * (100 - threshold) / 100).cast("int") + 1 - F.col("first").cast("int"), F.lit(0))
+    common = F.size(F.filter("shared", lambda x: x["df"] > RARE))
+    return stored(held.select("node", "n", common.alias("common"), F.slice(place, F.lit(1), size).alias("prefix")))
+
+
+def prefix_pairs(members: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): nodes of different components that share a prefix shingle and may be linked, from (node, comp, n, prefix).
+
+    Of each shingle the nodes of its largest component aren't paired among themselves; the rest is dealt in blocks.
+    """
+    own = stored(members.select("node", "comp", "n", F.explode("prefix").alias("x")).select("node", "comp", "n", "x.*"))
+    comps = own.groupBy("s", "comp").agg(F.count("*").alias("m"))
+    mixed = comps.groupBy("s").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.count("*").alias("comps"), F.sum("m").alias("m")).where("comps > 1")
+    own = stored(join_counted(own, stored(mixed.select("s", "main", "m")), ["s"], "m").withColumn("blocks", F.ceil(F.col("m") / BLOCK)))
+    left = own.where("comp <> main").select("s", *(F.col(c).alias(f"{c}_a") for c in ("node", "comp", "n", "place")), F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
+    right = own.select("s", *(F.col(c).alias(f"{c}_b") for c in ("node", "comp", "n", "place", "main")), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    apart = (F.col("comp_a") != F.col("comp_b")) & ((F.col("node_a") < F.col("node_b")) | (F.col("comp_b") == F.col("main_b")))
+    # of the shingles from these places on, no more than the shorter rest can be shared, and before them none but rarer ones, which give their own rows
+    sizes = F.lit(100) * F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b")
+    pairs = left.join(right, ["s", "block"]).where(apart & sizes)
+    pairs = pairs.groupBy("node_a", "node_b").agg(F.min_by(F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")), "place_a").alias("rest"), (F.first("n_a") + F.first("n_b")).alias("n"))
+    pairs = pairs.where(F.lit(100) * F.col("rest") >= F.lit(threshold) * (F.col("n") - F.col("rest")))
+    return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+
+def repeated_ids(found: DataFrame, nodes: DataFrame) -> DataFrame | None:
+    """Links (a, b) between the nodes that rows of one id belong to, if an id repeats."""
+    again = stored(found.where("id IS NOT NULL AND one IS NOT NULL").groupBy("id").agg(F.count("*").alias("m")).where("m > 1"))
+    if again.isEmpty():
+        return None
+    rows = join_counted(found.select("id", "one", "two", "n_shingles").where("one IS NOT NULL"), again, ["id"], "m")
+    sets = nodes.select("one", "two", F.col("n").alias("n_shingles"), "node", F.col("m").alias("_m"))
+    own = stored(join_counted(rows, sets, ["one", "two", "n_shingles"], "_m").select("id", "node").distinct())
+    least = stored(own.groupBy("id").agg(F.min("node").alias("a"), F.count("*").alias("m")).where("m > 1"))
+    return join_counted(own, least, ["id"], "m").select("a", F.col("node").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", shingle: int = 5, threshold: int = 80, hashes: int = HASHES, rows: int = ROWS) -> DataFrame:
@@ -159,56 +192,57 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
     (under 1e-6).
     """
     found = stored(signatures(docs, id_col, text, shingle, hashes, rows))
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).where("id IS NOT NULL")
+    docs = docs.select(F.col(id_col).alias("id"), text_mark(text).alias("th"), F.col(text).alias("text")).where("id IS NOT NULL")
     sets = found.where("id IS NOT NULL AND one IS NOT NULL")
-    heads = stored(sets.groupBy("one", "two", "n_shingles").agg(F.min("id").alias("head"), F.first("keys").alias("keys")))
-    keyed = heads.select(F.col("head").alias("id"), F.explode("keys").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("m")).where("m > 1").select("key", "pivot")
-    members = stored(keyed.join(buckets, "key"))
-    first = members.where("pivot <> id").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    first = cut(first)
-    links = confirmed(docs, first, shingle, threshold)
+    heads = sets.groupBy("one", "two", "n_shingles").agg(F.min(F.struct("id", "th")).alias("head"), F.first("keys").alias("keys"), F.count("*").alias("m"))
+    # numbered while written, so that each set has one number from now on
+    heads = stored(heads.select(F.monotonically_increasing_id().alias("node"), "head.*", "one", "two", F.col("n_shingles").alias("n"), "m", "keys"))
+    nodes = heads.drop("keys")
+    keyed = heads.select("node", F.explode("keys").alias("key"))
+    buckets = stored(keyed.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("m")).where("m > 1"))
+    members = stored(join_counted(keyed, buckets, ["key"], "m").select("key", "node", "pivot"))
+    first = stored(members.where("pivot <> node").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
+    links = confirmed(docs, nodes, first, shingle, threshold)
+    more = repeated_ids(found, nodes)
+    links = links if more is None else stored(links.union(more))
     classes = components(links)
-    opened = open_members(members.select("key", "id"), classes)
+    opened = open_members(members.select("key", "node"), classes)
     if not opened.isEmpty():
-        sizes, rare = rest_pairs(docs, opened, shingle)
-        opened = cut(opened.join(sizes, "id"))
-        central = opened.groupBy("key").agg(F.max_by("id", F.struct("common", "id")).alias("a"), F.max_by("n", F.struct("common", "id")).alias("n_a"), F.max_by("comp", F.struct("common", "id")).alias("comp_a"), F.max("common").alias("common_a"))
-        other = opened.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"), F.col("common").alias("common_b"))
-        near = possible(F.least("common_a", "common_b"), "a", "b", threshold) & (F.col("comp_a") != F.col("comp_b"))
-        pairs = other.join(central, "key").where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        second = cut(pairs.join(first, ["a", "b"], "left_anti"))
-        links = cut(links.union(confirmed(docs, second, shingle, threshold)))
+        kept = prefixes(docs, nodes, opened, shingle, threshold)
+        sized = opened.join(few(kept.select("node", "n", "common")), "node")
+        middle = sized.groupBy("key").agg(F.max_by(F.struct("node", "n", "comp", "common"), F.struct("common", "node")).alias("a"), F.count("*").alias("m"))
+        least = F.least("a.common", "common")
+        near = F.lit(100) * least >= F.lit(threshold) * (F.col("a.n") + F.col("n") - least)
+        pairs = join_counted(sized.drop("m"), stored(middle), ["key"], "m").where(near & (F.col("a.comp") != F.col("comp")))
+        second = stored(pairs.select(F.least("a.node", "node").alias("a"), F.greatest("a.node", "node").alias("b")).distinct().join(first, ["a", "b"], "left_anti"))
+        links = stored(links.union(confirmed(docs, nodes, second, shingle, threshold)))
         classes = components(links)
-        # whatever is open still
-        opened = open_members(opened.select("key", "id"), classes)
-        opened = cut(opened.join(sizes, "id").where(100 * F.col("common") >= threshold * F.col("n")))
-        left = opened.select("key", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"), F.col("common").alias("common_a"))
-        right = opened.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"), F.col("common").alias("common_b"))
-        bound = (left.key == right.key) & (F.col("a") < F.col("b")) & near
-        by_common = left.join(right, bound).select("a", "b").distinct()
-        own = rare.join(sizes, "id").join(classes.select(F.col("node").alias("id"), "comp"), "id", "left").select("s", "id", "n", "common", F.coalesce("comp", "id").alias("comp"))
-        own = stored(own)
-        left = own.select("s", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"), F.col("common").alias("common_a"))
-        right = own.select("s", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"), F.col("common").alias("common_b"))
-        by_rare = left.join(right, (left.s == right.s) & (F.col("a") < F.col("b")) & (F.col("comp_a") != F.col("comp_b")))
-        by_rare = by_rare.groupBy("a", "b").agg(F.count("*").alias("r"), *(F.first(c).alias(c) for c in ("n_a", "n_b", "common_a", "common_b")))
-        by_rare = by_rare.where(possible(F.col("r") + F.least("common_a", "common_b"), "a", "b", threshold)).select("a", "b")
-        third = by_common.union(by_rare).distinct().join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti")
-        classes = components(links.union(confirmed(docs, third, shingle, threshold)))
-    heads = heads.select("one", "two", "n_shingles", "head").join(classes.select(F.col("node").alias("head"), "comp"), "head", "left")
-    heads = heads.select("one", "two", F.col("n_shingles").alias("n"), F.coalesce("comp", "head").alias("comp"))
-    out = found.select("id", "n_shingles", "one", "two").join(heads, (found.one == heads.one) & (found.two == heads.two) & (found.n_shingles == heads.n), "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("comp", "id"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), (F.col("id").isNull() | (F.col("id") == component)).alias("kept"))
-
-
-def deduplicated(docs: DataFrame, *, id_col: str = "doc_id", **settings) -> DataFrame:
-    """docs less the documents that aren't kept. Their ids are broadcast when few, else both sides shuffle."""
-    gone = cut(near_duplicates(docs, id_col=id_col, **settings).where(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct())
-    if gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+        apart = open_members(opened.select("key", "node"), classes).select("node", "comp").distinct()
+        third = prefix_pairs(apart.join(kept, "node"), threshold).join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti")
+        classes = components(links.union(confirmed(docs, nodes, stored(third), shingle, threshold)))
+    # a class bears its smallest id
+    own = nodes.join(few(classes.select(F.col("node").alias("_n"), "comp")), F.col("node") == F.col("_n"), "left").select("one", "two", F.col("n").alias("n_shingles"), "id", "m", "comp")
+    least = stored(own.where("comp IS NOT NULL").groupBy("comp").agg(F.min("id").alias("smallest"), F.count("*").alias("c")))
+    own = join_counted(own.where("comp IS NOT NULL"), least, ["comp"], "c").select("one", "two", "n_shingles", "m", "smallest").union(own.where("comp IS NULL").select("one", "two", "n_shingles", "m", "id"))
+    skinny = found.select("id", "n_shingles", "one", "two")
+    some = F.col("id").isNotNull() & F.col("one").isNotNull()
+    out = join_counted(skinny.where(some), stored(own), ["one", "two", "n_shingles"], "m").select("id", "n_shingles", F.col("smallest").alias("component"))
+    out = out.union(skinny.where(~some).select("id", "n_shingles", "id"))
+    return out.select(F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"), (F.col("id").isNull() | (F.col("id") == F.col("component"))).alias("kept"))
+
+
+def deduplicated(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """docs less the documents that aren't kept; of rows that repeat a kept id, the one with the smallest text stays."""
+    found = stored(near_duplicates(docs, id_col=id_col, text=text, **settings).select(id_col, "kept"))
+    gone = found.where(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct()
+    out = docs.join(few(gone), docs[id_col] == F.col("_gone"), "left_anti")
+    again = stored(found.where(F.col("kept") & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_again")).agg(F.count("*").alias("_n")).where("_n > 1").select("_again"))
+    if again.isEmpty():
+        return out
+    again, same = few(again), docs[id_col] == F.col("_again")
+    columns = [f"`{c}`" for c in docs.columns]
+    one = out.join(again, same, "left_semi").groupBy(F.col(id_col).alias("_id")).agg(F.min_by(F.struct(*columns), F.struct(text, F.xxhash64(*columns))).alias("_row")).select("_row.*")
+    return out.join(again, same, "left_anti").unionByName(one)
 
 
 def op4_near_duplicates(spark, sf_dir: str) -> DataFrame:

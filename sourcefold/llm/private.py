@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import BROADCAST_ROWS, cut, stored, without
+from .common import BROADCAST_ROWS, few, stored, without
 
 KINDS = ["email", "ip", "card", "phone"]
 #: The contract's patterns. Possessive quantifiers and the checks of what stands before change no match: a run of
@@ -95,11 +95,6 @@ def examined(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, DataFr
     return based.select("id", "th", F.col("_base").alias("base")), held.select("id", "th", "marked", copy.alias("copy"), "entities", F.expr(words).alias("words"))
 
 
-def few(df: DataFrame) -> DataFrame:
-    """df, broadcast when its rows are few."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def disclosing(docs: DataFrame, held: DataFrame, text: str, disclosure: float, contexts: int) -> DataFrame:
     """(kind, entity, term, level): terms over the threshold for an entity; level is PMI / IC."""
     n = float(docs.count())
@@ -107,11 +102,11 @@ def disclosing(docs: DataFrame, held: DataFrame, text: str, disclosure: float, c
     copies = stored(held.groupBy("copy").agg(F.count("*").alias("w"), F.first("entities").alias("entities"), F.first("words").alias("words")))
     entities = copies.select("copy", "w", F.explode("entities").alias("x")).select("copy", "w", "x.*")
     n_e = entities.groupBy("kind", "entity").agg(F.sum("w").alias("n_e"), F.count("*").alias("seen"))
-    n_e = cut(n_e.where((F.col("seen") >= contexts) & (F.col("n_e") < n)).drop("seen"))
+    n_e = stored(n_e.where((F.col("seen") >= contexts) & (F.col("n_e") < n)).drop("seen"))
     least, most = n_e.agg(F.min("n_e"), F.max("n_e")).first()
     if least is None:
         return n_e.select("kind", "entity", F.lit("").alias("term"), F.lit(0.0).alias("level")).limit(0)
-    entities = cut(entities.join(few(n_e), ["kind", "entity"]).select("copy", "kind", "entity", "n_e"))
+    entities = stored(entities.join(few(n_e), ["kind", "entity"]).select("copy", "kind", "entity", "n_e"))
     sharing = copies.join(entities.select("copy").distinct(), "copy", "left_semi").select("copy", "w", F.explode("words").alias("term"))
     # the level can reach the threshold only if n_te / n_t >= (n_e / n) ** (1 - disclosure), and n_t <= n ** (1 - disclosure) * n_e ** disclosure
     slack = 1 - 1e-9
@@ -120,7 +115,7 @@ def disclosing(docs: DataFrame, held: DataFrame, text: str, disclosure: float, c
     # every word's document frequency, summed within tasks first, so that no join sees a row for each occurrence
     n_t = words.groupBy("term").agg(F.count("*").alias("n_t"))
     possible = (F.col("n_tf") >= F.col("n_t") * (slack * (least / n) ** (1 - disclosure))) & (F.col("n_t") * slack <= n ** (1 - disclosure) * most**disclosure)
-    rare = cut(n_t.join(within, "term").where(possible).select("term", "n_t"))
+    rare = stored(n_t.join(within, "term").where(possible).select("term", "n_t"))
     pairs = sharing.join(few(rare), "term").join(entities, "copy").where(F.col("n_t") * slack <= n ** (1 - disclosure) * F.pow("n_e", F.lit(disclosure)))
     pairs = pairs.groupBy("kind", "entity", "term").agg(F.sum("w").alias("n_te"), F.count("*").alias("seen"), F.first("n_t").alias("n_t"), F.first("n_e").alias("n_e"))
     level = F.log(F.lit(n) * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(n) / F.col("n_e"))
@@ -131,7 +126,7 @@ def term_spans(held: DataFrame, terms: DataFrame) -> DataFrame:
     """(id, th, terms): all places of disclosing terms in documents that hold their entities, as structs (start, kind, end, value); value is what stands there instead."""
     levels = held.select("id", "th", F.explode("entities").alias("x"), "words").select("id", "th", "x.*", "words")
     own = terms.groupBy("kind", "entity").agg(F.map_from_entries(F.collect_list(F.struct("term", "level"))).alias("own"))
-    levels = levels.join(few(cut(own)), ["kind", "entity"]).select("id", "th", F.explode(F.expr("filter(transform(words, w -> struct(w AS term, own[w] AS level)), x -> x.level IS NOT NULL)")).alias("x"))
+    levels = levels.join(few(stored(own)), ["kind", "entity"]).select("id", "th", F.explode(F.expr("filter(transform(words, w -> struct(w AS term, own[w] AS level)), x -> x.level IS NOT NULL)")).alias("x"))
     levels = levels.groupBy("id", "th", "x.term").agg(F.max("x.level").alias("level"))
     levels = levels.groupBy(F.col("id").alias("_i"), F.col("th").alias("_t")).agg(F.map_from_entries(F.collect_list(F.struct("term", "level"))).alias("levels"))
     rows = held.dropDuplicates(["id", "th"]).join(levels, F.col("id").eqNullSafe(F.col("_i")) & (F.col("th") == F.col("_t")))
@@ -147,7 +142,7 @@ def term_spans(held: DataFrame, terms: DataFrame) -> DataFrame:
 
 def with_terms(rows: DataFrame, spans: DataFrame) -> DataFrame:
     """rows (id, th, ...) with `terms`. The spans are broadcast when few, else both sides shuffle."""
-    spans = cut(spans).select(F.col("id").alias("_i"), F.col("th").alias("_t"), "terms")
+    spans = stored(spans).select(F.col("id").alias("_i"), F.col("th").alias("_t"), "terms")
     if spans.limit(BROADCAST_ROWS // 4 + 1).count() <= BROADCAST_ROWS // 4:
         spans = F.broadcast(spans)
     return rows.join(spans, rows["id"].eqNullSafe(spans["_i"]) & (rows["th"] == spans["_t"]), "left").drop("_i", "_t")
@@ -167,7 +162,7 @@ def found_spans(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
     """(id, th, base) and (id, th, terms) of docs."""
     base, held = examined(docs, id_col, text)
     held = stored(held)
-    return base, term_spans(held, cut(disclosing(docs, held, text, disclosure, contexts)))
+    return base, term_spans(held, stored(disclosing(docs, held, text, disclosure, contexts)))
 
 
 def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", disclosure: float = DISCLOSURE, contexts: int = CONTEXTS) -> DataFrame:

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import BROADCAST_ROWS, cut, sliced, without
+from .common import BROADCAST_ROWS, sliced, stored, without
 
 SPACE = b" \t\n\v\f\r"
 SYMBOLS = b"#*$%&|<>"
@@ -106,14 +106,14 @@ def judge(docs: DataFrame, *, text: str = "text", host: str = "source", max_rate
 
     Only the host and the verdict of each row are read again for the hosts' rates; texts aren't shuffled.
     """
-    hosts = cut(host_verdicts(rule_counts(docs, text, [host]), host, max_rate))
+    hosts = stored(host_verdicts(rule_counts(docs, text, [host]), host, max_rate))
     return with_verdicts(rule_counts(without(docs, ["kept"]), text, keep), hosts, host)
 
 
 def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
-    counted = cut(rule_counts(docs, keep=["doc_id", "source"]))
-    found = with_verdicts(counted, cut(host_verdicts(counted, "source", 0.9)), "source")
+    counted = stored(rule_counts(docs, keep=["doc_id", "source"]))
+    found = with_verdicts(counted, stored(host_verdicts(counted, "source", 0.9)), "source")
     return found.select("doc_id", *COUNTS, "base_failed", "kept")
 
 

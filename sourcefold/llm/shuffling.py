@@ -14,11 +14,9 @@ result; columns of the input that bear an added column's name are replaced.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from .common import BROADCAST_ROWS, cut, shared_dir, without
+from .common import BROADCAST_ROWS, scratch, stored, without
 
 #: Bytes of rows that one bucket may hold, and how many buckets one task permutes.
 BUCKET_BYTES, BUCKETS_A_TASK = 64_000_000, 16
@@ -36,7 +34,7 @@ def permuted(sizes: DataFrame, buckets: int, seed: int) -> DataFrame:
     else:  # the tasks of a range are a fixed layout too
         sized = every.join(sizes, "bucket").repartitionByRange(-(-buckets // BUCKETS_A_TASK), "bucket").sortWithinPartitions("bucket")
     order = F.shuffle(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), seed)
-    return cut(sized.select("bucket", F.posexplode(order).alias("slot", "place")))
+    return stored(sized.select("bucket", F.posexplode(order).alias("slot", "place")))
 
 
 def row_bytes(docs: DataFrame) -> Column:
@@ -54,7 +52,7 @@ def scatter(docs: DataFrame, buckets: int, *, key: str = "doc_id", seed: int = 4
     """docs with _row (hash of the row) and _bucket. Rows that are equal are counted, and made again with a number each."""
     columns = [f"`{c}`" for c in docs.columns]
     rows = docs.withColumn("_row", F.xxhash64(*[F.col(c) for c in columns]))
-    repeated = cut(rows.groupBy("_row").agg(F.count("*").alias("n")).where("n > 1").select(F.col("_row").alias("_again")))
+    repeated = stored(rows.groupBy("_row").agg(F.count("*").alias("n")).where("n > 1").select(F.col("_row").alias("_again")))
     if repeated.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         repeated = F.broadcast(repeated)
     same = F.col("_row") == F.col("_again")
@@ -75,7 +73,7 @@ def shuffled(docs: DataFrame, shards: int, *, key: str = "doc_id", size: str | N
     total = docs.agg(F.count("*").alias("n"), F.sum(F.col(size) if size else row_bytes(docs)).alias("b")).first()
     n, buckets = total.n, max(1, -(-int(total.b or 0) // bucket_bytes))
     scattered = scatter(docs, buckets, key=key, seed=seed)
-    sizes = cut(scattered.groupBy("_bucket").agg(F.count("*").alias("n")).withColumnRenamed("_bucket", "bucket"))
+    sizes = stored(scattered.groupBy("_bucket").agg(F.count("*").alias("n")).withColumnRenamed("_bucket", "bucket"))
     # a row per bucket: the running sum over all buckets is small
     offsets = sizes.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("offset"))
     places = permuted(sizes, buckets, seed).join(F.broadcast(offsets) if buckets <= BROADCAST_ROWS else offsets, "bucket")
@@ -105,7 +103,7 @@ def write_shards(docs: DataFrame, path: str, shards: int, **settings) -> None:
 def op8_shuffled_shards(spark, sf_dir: str) -> DataFrame:
     """The documents written as 40 shards, whole; size, checksum and place of each are read back from the shards."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    path = f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}"
+    path = scratch(spark, "shards")
     write_shards(docs, path, 40)
     back = spark.read.schema(T.StructType([*docs.schema.fields, T.StructField("slot", T.LongType()), T.StructField("shard", T.IntegerType())])).parquet(path)
     size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size")

@@ -17,7 +17,6 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -27,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from .bpe import BYTES, LETTERS, NUMBERS, OTHER, WHITE
-from .common import Memo, shared_dir, sliced, stored
+from .common import Memo, scratch, sliced, stored
 
 #: Lengths of the four numbers behind each control byte.
 LENGTHS = np.stack([(np.arange(256) >> s & 3) + 1 for s in (0, 2, 4, 6)], 1).astype(np.uint8)
@@ -217,6 +216,6 @@ def read(spark: SparkSession, path: str, digest_only: bool = False) -> DataFrame
 def op7_token_files(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    path = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    path = scratch(spark, "tokens")
     write(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), path, public_tokenizers.path("byte_bpe_50k.json"))
     return read(spark, path, digest_only=True).select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sourcefold.llm import bpe, chat, decontamination, licences, neardup, private, quality, shuffling, substrings, tokenfiles
-from sourcefold.llm.common import shared_dir
+from sourcefold.llm.common import Memo, join_counted, shared_dir
 
 from .brute import brute_classes, brute_counts, brute_hits, brute_removed, brute_spans
 
@@ -180,6 +180,52 @@ def test_near_duplicates_take_edges(spark):
     assert neardup.deduplicated(frame(spark, rows, "doc_id long, text string, kept int")).where("doc_id = 7").count() == 0
 
 
+def test_rows_that_repeat_an_id_join_their_classes(spark):
+    rng = random.Random(12)
+    one, two = ([f"{x}{rng.randrange(10**6)}" for _ in range(60)] for x in "ab")
+    near = lambda words: " ".join([*words[:-1], "else"])
+    rows = [(5, " ".join(one)), (5, " ".join(two)), (6, near(one)), (7, near(two)), (8, "apart from all of these"), (5, " ".join(one))]
+    found = {r.doc_id: (r.component_id, r.kept) for r in neardup.near_duplicates(frame(spark, rows)).collect()}
+    assert found == {5: (5, True), 6: (5, False), 7: (5, False), 8: (8, True)}
+    left = neardup.deduplicated(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in left) == [(5, min(rows)[1]), (8, rows[4][1])]
+
+
+def test_a_stretched_group_is_settled_exactly(spark):
+    # copies drift from one another step by step, from several starts that share most of their words
+    rng = random.Random(13)
+    base, docs = [f"w{i}" for i in range(100)], []
+    for start in range(6):
+        words = [w if rng.random() < 0.93 else f"s{start}_{i}" for i, w in enumerate(base)]
+        for step in range(60):
+            if rng.random() < 0.7:
+                words = list(words)
+                words[rng.randrange(100)] = f"x{start}_{step}"
+            docs.append((len(docs), " ".join(words)))
+    rng.shuffle(docs)
+    found = neardup.near_duplicates(frame(spark, docs), shingle=3, threshold=85, hashes=60).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == brute_classes(docs, 3, 85)
+    # all pairs that prefixes give hold all links between components
+    nodes = [(k, k, 10, 1) for k in range(4)]
+    members = spark.createDataFrame([(n, c, size, [(p, s) for p, s in ((0, 1), (1, 2))]) for n, c, size, _ in nodes], "node long, comp long, n long, prefix array<struct<place: long, s: long>>")
+    assert {(r.a, r.b) for r in neardup.prefix_pairs(members, 85).collect()} == {(a, b) for a in range(4) for b in range(a + 1, 4)}
+
+
+def test_frequent_keys_are_joined_like_others(spark, monkeypatch):
+    monkeypatch.setattr("sourcefold.llm.common.BROADCAST_ROWS", 2)
+    rows = spark.createDataFrame([(1, i) for i in range(3000)] + [(k, k) for k in range(2, 1500)], "k long, v long")
+    keys = rows.groupBy("k").agg(F.count("*").alias("n")).where("k % 2 = 1")
+    found = join_counted(rows, keys, ["k"], "n")
+    assert sorted(map(tuple, found.collect())) == sorted((k, v, 3000 if k == 1 else 1) for k, v in map(tuple, rows.collect()) if k % 2)
+
+
+def test_memos_forget_by_generations():
+    asked = []
+    memo = Memo(lambda k: asked.append(k) or k * 2, 10)
+    assert [memo[k] for k in [*range(10), *range(5), 10, 0, 1]] == [2 * k for k in [*range(10), *range(5), 10, 0, 1]] and len(asked) == 11
+    assert [memo[k] for k in range(20, 60)] == [2 * k for k in range(20, 60)] and len(memo) + len(memo.older) <= 20
+
+
 # 5 chat formatting
 
 
