@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,8 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path in the folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sourcefold-")
+    """A new path in the folder that driver and executors share, spark.checkpoint.dir; only a local session, as in tests, may leave that unset."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
+        top = tempfile.mkdtemp(prefix="sourcefold-")
     return f"{top.rstrip('/')}/files-{uuid.uuid4().hex}"
 
 
