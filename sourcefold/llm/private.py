@@ -38,19 +38,47 @@ WORD = r"\p{L}[\p{L}\p{M}'-]*+"
 #: Stands for each letter of an entity while words are sought, so that a word that overlaps one is known by it.
 MARK = "\U0010FFFF"
 TOKEN = rf"[\p{{L}}{MARK}][\p{{L}}\p{{M}}'{MARK}-]*+"
+#: Spans that are worked on one by one in one go.
+CHUNK = 256
 #: Disclosure from which a term goes, and different documents that a term and an entity need together.
 DISCLOSURE, CONTEXTS = 0.9, 3
 ADDED = ["spans", "clean_text"]
 
 
-def placed(text: str, found: str, pattern: str, offset: str = "0") -> str:
-    """SQL for the matches `found` of pattern in text as structs (start, end, value), in code points."""
-    gaps = f"split({text}, r'{pattern}', -1)" if "'" not in pattern else f'split({text}, r"{pattern}", -1)'
-    return f"""IF(size({found}) = 0, CAST(array() AS ARRAY<STRUCT<start: INT, end: INT, value: STRING>>), aggregate(
-        zip_with({found}, slice({gaps}, 1, size({found})), (m, g) -> struct(m AS m, length(g) AS g)),
-        struct({offset} AS at, CAST(array() AS ARRAY<STRUCT<start: INT, end: INT, value: STRING>>) AS all),
-        (acc, x) -> struct(acc.at + x.g + length(x.m) AS at, array_append(acc.all, struct(acc.at + x.g AS start, acc.at + x.g + length(x.m) AS end, x.m AS value)) AS all),
-        acc -> acc.all))"""
+SPANS = "ARRAY<STRUCT<start: INT, kind: INT, end: INT, value: STRING>>"
+
+
+def let(name: str, value: str, body: str) -> str:
+    """SQL for body with a name for value, which is computed once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def chunks(items: str) -> str:
+    """SQL for the array `items` in arrays of CHUNK: what is appended to one by one stays short, so work grows with the array, not with its square."""
+    return let("_i", items, f"IF(size(_i) = 0, array(slice(_i, 1, 0)), transform(sequence(0, (size(_i) - 1) div {CHUNK}), _c -> slice(_i, _c * {CHUNK} + 1, {CHUNK})))")
+
+
+def placed(found: str, gaps: str, kept: str, made: str, kind: str) -> str:
+    """SQL for an array of type `kind`: `made` of those matches x that are `kept`, in order.
+
+    x has m (the match), start and end, in code points; gaps: what stands before each match.
+    """
+    inner = f"""aggregate(c, struct(aggregate(slice(sums, 1, i), 0, (a, t) -> a + t) AS at, CAST(array() AS {kind}) AS all),
+        (acc, y) -> struct(acc.at + y.g + y.l AS at, {let("x", "struct(y.m AS m, acc.at + y.g AS start, acc.at + y.g + y.l AS end)", f"IF({kept}, array_append(acc.all, {made}), acc.all)")} AS all), acc -> acc.all)"""
+    sizes = f"zip_with({found}, slice({gaps}, 1, size({found})), (m, g) -> struct(m AS m, length(g) AS g, length(m) AS l))"
+    sums = "transform(parts, c -> aggregate(c, 0, (a, y) -> a + y.g + y.l))"
+    return f"IF(size({found}) = 0, CAST(array() AS {kind}), {let('parts', chunks(sizes), let('sums', sums, f'flatten(transform(parts, (c, i) -> {inner}))'))})"
+
+
+def replaced(text: str, spans: str, counts: str, instead: str) -> str:
+    """SQL for text with `instead` in place of each span x, in order, that `counts`; at: where the span before ended.
+
+    Each chunk of spans is worked on within its own stretch of the text, and the stretches are joined at the end.
+    """
+    own = let("e", "greatest(acc.at, array_max(transform(c, x -> x.end)))", let("seg", f"substring({text}, acc.at + 1, e - acc.at)", f"""struct(e AS at, array_append(acc.out, aggregate(c, struct(acc.at AS at, '' AS out),
+            (b, x) -> {let("at", "b.at", let("cut", "b.at - acc.at", f"IF({counts}, struct(greatest(at, x.end) AS at, concat(b.out, substring(seg, cut + 1, greatest(x.start - at, 0)), {instead}) AS out), struct(greatest(at, x.end) AS at, b.out AS out))"))},
+            b -> concat(b.out, substring(seg, b.at - acc.at + 1)))) AS out)"""))
+    return f"IF(size({spans}) = 0, {text}, aggregate({chunks(spans)}, struct(0 AS at, CAST(array() AS ARRAY<STRING>) AS out), (acc, c) -> {own}, acc -> concat(array_join(acc.out, ''), substring({text}, acc.at + 1))))"
 
 
 VALID = {
@@ -70,25 +98,27 @@ def with_base(docs: DataFrame, text: str) -> DataFrame:
         none = F.expr("CAST(array() AS ARRAY<STRING>)")
         some = F.contains("_text", F.lit(NEEDS[kind])) if NEEDS[kind] else F.lit(True)
         out = out.withColumn(f"_m_{kind}", F.when(some, search).otherwise(none))
-    out = out.withColumns({f"_s_{kind}": F.expr(f"filter({placed('_text', f'_m_{kind}', PATTERNS[kind])}, x -> {VALID[kind]})") for kind in KINDS})
+    simple = "ARRAY<STRUCT<start: INT, end: INT, value: STRING>>"
+    for kind in KINDS:
+        gaps = f"split(_text, r'{PATTERNS[kind]}', -1)"
+        valid = VALID[kind].replace("x.value", "x.m")
+        out = out.withColumn(f"_s_{kind}", F.expr(placed(f"_m_{kind}", gaps, valid, "struct(x.start AS start, x.end AS end, x.m AS value)", simple)))
     every = ", ".join(f"transform(_s_{kind}, x -> struct(x.start AS start, {k} AS kind, x.end AS end, x.value AS value))" for k, kind in enumerate(KINDS))
     return out.withColumn("_base", F.expr(f"array_sort(concat({every}))")).drop(*(f"_{x}_{kind}" for kind in KINDS for x in "ms"))
 
 
 def marked(text: str, base: str) -> str:
     """SQL for text with MARK for each letter of its entities; all else keeps its place."""
-    return f"""aggregate({base}, struct(0 AS at, '' AS out),
-        (a, x) -> IF(x.end > a.at,
-            struct(x.end AS at, concat(a.out, substring({text}, a.at + 1, greatest(x.start - a.at, 0)), regexp_replace(substring({text}, greatest(x.start, a.at) + 1, x.end - greatest(x.start, a.at)), '[A-Za-z]', '{MARK}')) AS out),
-            struct(a.at AS at, a.out AS out)),
-        a -> concat(a.out, substring({text}, a.at + 1)))"""
+    letters = f"regexp_replace(substring(seg, cut + greatest(x.start - at, 0) + 1, x.end - greatest(x.start, at)), '[A-Za-z]', '{MARK}')"
+    return replaced(text, base, "x.end > at", letters)
 
 
 def examined(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(id, th, base) of each document; and of each with spans (id, th, marked, copy, entities, words): its text with marks, a hash that copies share, and its different entities and words."""
     slim = docs.select(F.col(id_col).alias("id"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("th"), F.col(text).alias("text"))
     based = with_base(slim, "text")
-    entities = "array_sort(array_distinct(transform(_base, x -> struct(x.kind AS kind, IF(x.kind = 0, lower(x.value), regexp_replace(x.value, '[^0-9.]', '')) AS entity))))"
+    # distinct as texts, which are hashed; structs would be compared one by one with all others
+    entities = "transform(array_sort(array_distinct(transform(_base, x -> concat(x.kind, IF(x.kind = 0, lower(x.value), regexp_replace(x.value, '[^0-9.]', '')))))), e -> struct(int(substring(e, 1, 1)) AS kind, substring(e, 2) AS entity))"
     held = based.where("size(_base) > 0").withColumns({"entities": F.expr(entities), "marked": F.expr(marked("_text", "_base"))})
     words = f"""array_distinct(transform(filter(regexp_extract_all(marked, r"{TOKEN}", 0), w -> NOT contains(w, '{MARK}')), w -> lower(w)))"""
     copy = F.xxhash64(F.lower(F.regexp_replace("_text", r"\s+", " ")), "entities")
@@ -131,12 +161,9 @@ def term_spans(held: DataFrame, terms: DataFrame) -> DataFrame:
     levels = levels.groupBy(F.col("id").alias("_i"), F.col("th").alias("_t")).agg(F.map_from_entries(F.collect_list(F.struct("term", "level"))).alias("levels"))
     rows = held.dropDuplicates(["id", "th"]).join(levels, F.col("id").eqNullSafe(F.col("_i")) & (F.col("th") == F.col("_t")))
     found = f'regexp_extract_all(marked, r"{TOKEN}", 0)'
-    places = rf"""aggregate(zip_with({found}, split(marked, r"{TOKEN}", -1), (m, g) -> struct(m AS m, length(g) AS g)),
-        struct(0 AS at, CAST(array() AS ARRAY<STRUCT<start: INT, kind: INT, end: INT, value: STRING>>) AS all),
-        (acc, x) -> struct(acc.at + x.g + coalesce(length(x.m), 0) AS at, IF(x.m IS NULL OR levels[lower(x.m)] IS NULL, acc.all, array_append(acc.all, struct(
-            acc.at + x.g AS start, {len(KINDS)} AS kind, acc.at + x.g + length(x.m) AS end,
-            CASE WHEN levels[lower(x.m)] >= 1 - 1e-9D THEN '' WHEN x.m rlike r'^\p{{Lu}}' THEN '[NAME]' ELSE '[TERM]' END AS value))) AS all),
-        acc -> acc.all)"""
+    level = "element_at(levels, lower(x.m))"
+    instead = rf"CASE WHEN {level} >= 1 - 1e-9D THEN '' WHEN x.m rlike r'^\p{{Lu}}' THEN '[NAME]' ELSE '[TERM]' END"
+    places = placed(found, f'split(marked, r"{TOKEN}", -1)', f"{level} IS NOT NULL", f"struct(x.start AS start, {len(KINDS)} AS kind, x.end AS end, {instead} AS value)", SPANS)
     return rows.select("id", "th", F.expr(places).alias("terms"))
 
 
@@ -155,7 +182,7 @@ def written(spans: str, kinds: list[str]) -> Column:
 
 
 def every_span() -> Column:
-    return F.expr("array_sort(concat(base, coalesce(terms, CAST(array() AS ARRAY<STRUCT<start: INT, kind: INT, end: INT, value: STRING>>))))")
+    return F.expr(f"array_sort(concat(base, coalesce(terms, CAST(array() AS {SPANS}))))")
 
 
 def found_spans(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", disclosure: float = DISCLOSURE, contexts: int = CONTEXTS) -> tuple[DataFrame, DataFrame]:
@@ -172,11 +199,8 @@ def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", dis
     rows = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("_row")).select("_row", F.col("_row").getField(id_col).alias("id"), F.coalesce(F.xxhash64(F.col("_row").getField(text)), F.lit(0)).alias("th"), F.col("_row").getField(text).alias("text"))
     rows = with_terms(with_base(rows, "text").withColumnRenamed("_base", "base"), terms).withColumn("_spans", every_span())
     labels = ", ".join(f"'{LABELS[k]}'" for k in KINDS)
-    clean = f"""IF(size(_spans) = 0, text, aggregate(_spans, struct(0 AS at, '' AS out),
-        (a, x) -> IF(x.start >= a.at,
-            struct(x.end AS at, concat(a.out, substring(_text, a.at + 1, x.start - a.at), IF(x.kind < {len(KINDS)}, element_at(array({labels}, ''), x.kind + 1), x.value)) AS out),
-            struct(greatest(a.at, x.end) AS at, a.out AS out)),
-        a -> concat(a.out, substring(_text, a.at + 1))))"""
+    label = f"IF(x.kind < {len(KINDS)}, element_at(array({labels}, ''), x.kind + 1), x.value)"
+    clean = f"IF(size(_spans) = 0, text, {replaced('_text', '_spans', 'x.start >= at', label)})"
     return rows.select(*(F.col("_row").getField(c).alias(c) for c in docs.columns), F.col("_spans").alias("spans"), F.expr(clean).alias("clean_text"))
 
 

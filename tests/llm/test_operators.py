@@ -4,6 +4,7 @@ import math
 import os
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -141,6 +142,49 @@ def test_levels_are_brute_force(spark):
     assert {(r.entity, r.term): round(r.level, 9) for r in found} == want and want
 
 
+def test_term_spans_are_brute_force(spark):
+    rng = random.Random(8)
+    names = ["Zorblax", "Quimby-o", "d'Arvo", "tessa"]
+    filler = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
+    docs = []
+    for k in range(120):
+        who = k % 4
+        parts = [filler(6), names[who] if k < 60 else "", filler(5), f"{'abcd'[who]}@x.org" if k < 60 or rng.random() < 0.1 else "", filler(3), names[who] * (rng.random() < 0.5 and k < 60)]
+        docs.append((k, " ".join(parts)))
+    held = {k: (set(re.findall(r"[a-d]@x\.org", t)), t) for k, t in docs}
+    token = re.compile(r"(?<![@.\w])[^\W\d_](?:[^\W\d_]|['-])*(?![@\w])")
+    words = {k: {m[0].lower() for m in token.finditer(re.sub(r"[a-d]@x\.org", lambda m: "\0" * len(m[0]), t))} for k, (_, t) in held.items()}
+    n, level = len(docs), {}
+    for e in "abcd":
+        e += "@x.org"
+        of = [k for k in held if e in held[k][0]]
+        for t in set().union(*(words[k] for k in of)):
+            both = sum(t in words[k] for k in of)
+            if len({held[k][1] for k in of if t in words[k]}) >= 3:
+                level[e, t] = math.log(n * both / (sum(t in w for w in words.values()) * len(of))) / math.log(n / len(of))
+    want = {}
+    for k, (es, text) in held.items():
+        spans = [(m.start(), "email", m.end()) for m in re.finditer(r"[a-d]@x\.org", text)]
+        for m in token.finditer(re.sub(r"[a-d]@x\.org", lambda m: "\0" * len(m[0]), text)):
+            if any(level.get((e, m[0].lower()), 0) >= 0.9 for e in es):
+                spans.append((m.start(), "term", m.end()))
+        want[k] = ",".join(f"{kind}:{a}:{b}" for a, kind, b in sorted(spans))
+    table = frame(spark, docs)
+    base, terms = private.found_spans(table)
+    rows = private.with_terms(base, terms).withColumn("every", private.every_span())
+    found = {r.id: r.s for r in rows.select("id", private.written("every", [*private.KINDS, "term"]).alias("s")).collect()}
+    assert found == want and sum(s.count("term") for s in want.values()) > 60
+
+
+def test_many_spans_take_time_in_proportion(spark):
+    began = time.time()
+    rows = [(k, " ".join(f"10.{i % 256}.{k}.{i // 256} x{i}" for i in range(50_000))) for k in range(3)]
+    found = private.sanitise(frame(spark, rows)).collect()
+    for r in found:
+        assert len(r.spans) == 50_000 and r.clean_text == " ".join(f"[IP] x{i}" for i in range(50_000))
+    assert time.time() - began < 120
+
+
 def test_private_takes_edges(spark):
     rows = [(i, t, "s") for i, t in [*EDGE, (9, "mail me@x.org"), (9, "mail me@x.org")]]
     found = private.sanitise(frame(spark, rows, "doc_id long, text string, Spans string"))
