@@ -465,7 +465,34 @@ def test_wrapped_headers(spark):
 
 
 def test_every_known_sentence_is_searched_for(spark):
-    every = [(t, i) for i, texts in licences.SENTENCES.items() for t in texts]
-    rows = [(k, f"{t}\n\nlicence" if i.startswith("name-") else t) for k, (t, i) in enumerate(every)] + [(1001, "Licensed under the\n\nMIT License")]
-    found = {r.doc_id: r["sequence"] for r in licences.scan(frame(spark, rows)).collect()}
-    assert all(found[k] == [i] for k, (_, i) in enumerate(every)) and found[1001] == []
+    written = lambda t: t.replace(f"{licences.TAG} ", "SPDX-License-Identifier: ").replace(licences.UNDER, "Licensed under the ")
+    every = list(licences.KNOWN.items())
+    rows = [(k, written(t)) for k, (t, _) in enumerate(every)] + [(5001, "Licensed under the\n\nMIT License"), (5002, "mit"), (5003, "x licensed under the mit license")]
+    found = {r.doc_id: r for r in licences.scan(frame(spark, rows)).collect()}
+    assert all(found[k]["sequence"] == [i] for k, (_, i) in enumerate(every)) and all(found[k]["sequence"] == [] for k in (5001, 5002, 5003))
+    assert all(found[k].licences == ([licences.ALONE[i]] if i in licences.ALONE else []) for k, (_, i) in enumerate(every))
+    assert len(set(licences.ALONE.values())) > 200
+
+
+BSD_ASIS = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"\nAND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE\nIMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE\nDISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER BE LIABLE.\n'
+WHOLE = {
+    "AGPL-3.0-or-later": GPL.format(3).replace("General", "Affero General"),
+    "LGPL-2.1-or-later": GPL.format("2.1").replace("General", "Lesser General").replace("This program is d", "This library is d"),
+    "BSD-2-Clause": HEADERS["BSD-3-Clause"].split("3. Neither")[0] + BSD_ASIS,
+    "BSD-3-Clause": HEADERS["BSD-3-Clause"] + "\n" + BSD_ASIS,
+    "ISC": 'Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH\nREGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY\nAND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE.\n',
+    "Zlib": "This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held liable for any damages.\n\nPermission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:\n",
+    "GPL-3.0-or-later WITH GCC-exception-3.1": GPL.format(3) + "\nUnder Section 7 of GPL version 3, you are granted additional\npermissions described in the GCC Runtime Library Exception, version\n3.1, as published by the Free Software Foundation.\n",
+    "GPL-3.0": "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007\n",
+    "MIT OR Apache-2.0": "# SPDX-License-Identifier: MIT OR Apache-2.0\nx = 1\n",
+    "GPL-2.0 WITH Linux-syscall-note": "/* SPDX-License-Identifier: GPL-2.0 WITH Linux-syscall-note */\n#define X\n",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License.\n",
+    "MPL-1.1": "released under the Mozilla Public License, version 1.1",
+}
+
+
+def test_whole_texts(spark):
+    rows = [(k, text) for k, text in enumerate(WHOLE.values())] + [(100, BSD_ASIS), (101, "This program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; so.")]
+    found = {r.doc_id: r for r in licences.scan(frame(spark, rows)).collect()}
+    assert [found[k].licences for k in range(len(WHOLE))] == [[name] for name in WHOLE]
+    assert (found[100]["sequence"], found[100].n_unused, found[101]["sequence"]) == (["bsd-asis"], 1, ["gpl-hope"])
