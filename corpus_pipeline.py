@@ -20,16 +20,26 @@ def prepare(spark: SparkSession) -> None:
     small_batches(spark)
 
 
-def with_text(docs: DataFrame, found: DataFrame, clean: str) -> DataFrame:
-    """found with its cleaned text as text, and the columns of docs alone; n_chars follows the text."""
-    columns = [F.col(clean).alias("text") if c == "text" else F.length(clean).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
-    return found.select(*columns)
+#: What the operators read; all other columns are carried along out of the way of the columns that operators add.
+BASE = ["doc_id", "text", "source"]
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    return docs.select(*BASE, F.struct(F.lit(0).alias("_"), *[f"`{c}`" for c in docs.columns if c not in BASE]).alias("_rest"))
+
+
+def unpacked(docs: DataFrame, found: DataFrame, clean: str = "text") -> DataFrame:
+    """The columns of docs from what an operator made of packed(docs), with the cleaned text as text; n_chars follows a cleaned text."""
+    own = {c: F.col(c) if c in BASE else F.col("_rest").getField(c) for c in docs.columns} | {"text": F.col(clean)}
+    if clean != "text" and "n_chars" in own:
+        own["n_chars"] = F.length(clean).cast(docs.schema["n_chars"].dataType)
+    return found.select(*(column.alias(c) for c, column in own.items()))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules, of hosts that do."""
     prepare(spark)
-    return quality.judge(docs).where("kept").select(*[f"`{c}`" for c in docs.columns])
+    return unpacked(docs, quality.judge(packed(docs)).where("kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,14 +51,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth is benchmark text, without that text."""
     prepare(spark)
-    found = decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return with_text(docs, found.where("NOT contaminated"), "clean_text")
+    found = decontamination.decontaminate(packed(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return unpacked(docs, found.where("NOT contaminated"), "clean_text")
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with labels in place of personal data."""
     prepare(spark)
-    return with_text(docs, private.sanitise(docs), "clean_text")
+    return unpacked(docs, private.sanitise(packed(docs)), "clean_text")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
