@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -82,6 +83,17 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
+def sliced_by_size(batches: Iterator[pa.RecordBatch], column: int, most: int = 64_000_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose texts, in the numbered column, have about so many bytes at most."""
+    for batch in batches:
+        done = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(done, (done[at - 1] if at else 0) + most, "right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Smaller Arrow batches where the session has Spark's own size: texts can be long, and batches stand in memory on both sides."""
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":

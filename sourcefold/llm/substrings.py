@@ -6,8 +6,10 @@ the runs inside it, the one with the smallest hash. The choice depends on the wi
 windows choose equal runs and a window whose run is found once can't be repeated. At the last length the windows
 themselves are counted, and the words that repeated ones cover go.
 
-Equal runs of one batch are counted on the spot; a run that is repeated there is announced once, whatever the number
-of its occurrences, so no key gathers more rows than there are batches.
+Equal runs of one batch (of up to 64 MB of text) are counted on the spot; a run that is repeated there is announced
+once, whatever the number of its occurrences, so no key gathers more rows than there are batches: at 100 TB about as
+many as one task can count. Runs are told apart by 64-bit hashes of sequences of 64-bit word hashes, windows at the
+last length by 96 bits.
 
 Defined cases: a null or empty text has no words; a text of fewer words than a window loses none; rows with a null
 id, and rows that repeat an id, count as documents of their own (equal ones repeat each other's windows);
@@ -23,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from .common import gram_hashes, hashed, without, word_hashes
+from .common import ODD, gram_hashes, hashed, mix, sliced_by_size, without, word_hashes
 
 WINDOW, FIRST = 35, 9
 _memo = word_hashes()
@@ -53,13 +55,14 @@ def chosen(words: np.ndarray, length: int, window: int) -> tuple[np.ndarray, np.
 def _candidates(length: int, before: int | None, window: int):
     """Rows (h, id, th, pos, at) from (id, th, text[, pos, at: places found repeated at the length before]).
 
-    h, id, th and pos: a run that its batch holds once; h alone: one that it holds several times, whose places in
-    each document are packed into `at` of a row without h.
+    h, id, th and pos: a run that its batch holds once; h and pos alone: one that it holds several times, whose places
+    in each document are packed into `at` of a row without h. The lower half of pos holds 32 more bits of the hash, at
+    the last length.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashes, owners, places = [], [], []
+        for batch in sliced_by_size(batches, 2):
+            hashes, tails, owners, places = [], [], [], []
             for k, value in enumerate(batch.column(2)):
                 text = value.as_py()
                 raw = text.encode().split() if text else []
@@ -73,16 +76,17 @@ def _candidates(length: int, before: int | None, window: int):
                     place = place[alive[chosen(words, before, window)[1]]]
                 place = np.unique(place)
                 hashes.append(grams[place])
+                tails.append(gram_hashes(mix(words ^ ODD), length)[place] >> np.uint64(32) if length == window else np.zeros(len(place), np.uint64))
                 places.append(place)
                 owners.append(np.full(len(place), k, np.int64))
             if not hashes:
                 continue
-            h, at, owner = np.concatenate(hashes).view(np.int64), np.concatenate(places).astype(np.int32), np.concatenate(owners)
-            order = np.argsort(h, kind="stable")
-            new = np.concatenate(([True], h[order[1:]] != h[order[:-1]]))
+            h, tail, at, owner = np.concatenate(hashes).view(np.int64), np.concatenate(tails).view(np.int64), np.concatenate(places).astype(np.int32), np.concatenate(owners)
+            order = np.lexsort((tail, h))
+            new = np.concatenate(([True], (h[order[1:]] != h[order[:-1]]) | (tail[order[1:]] != tail[order[:-1]])))
             single = np.zeros(len(h), bool)
             single[order[new & np.concatenate((new[1:], [True]))]] = True
-            told = np.unique(h[~single])
+            told = order[new & ~single[order]]
             row, at_known = owner[~single], at[~single]
             cuts = np.flatnonzero(np.diff(row)) + 1
             packed = [x.tobytes() for x in np.split(at_known, cuts)] if len(row) else []
@@ -90,10 +94,10 @@ def _candidates(length: int, before: int | None, window: int):
             of = pa.array(np.concatenate((owner[single], np.zeros(m, np.int64), row[np.concatenate(([0], cuts))] if k else row)), mask=np.concatenate((np.zeros(n, bool), np.ones(m, bool), np.zeros(k, bool))))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.concat_arrays([pa.array(h[single]), pa.array(told), pa.nulls(k, pa.int64())]),
+                    pa.concat_arrays([pa.array(h[single]), pa.array(h[told]), pa.nulls(k, pa.int64())]),
                     batch.column(0).take(of),
                     batch.column(1).take(of),
-                    pa.concat_arrays([pa.array(at[single]), pa.nulls(m + k, pa.int32())]),
+                    pa.concat_arrays([pa.array((at[single].astype(np.int64) << 32) | tail[single]), pa.array(tail[told]), pa.nulls(k, pa.int64())]),
                     pa.concat_arrays([pa.nulls(n + m, pa.binary()), pa.array(packed, pa.binary())]),
                 ],
                 names=["h", "id", "th", "pos", "at"],
@@ -110,9 +114,10 @@ def repeated(rows: DataFrame) -> DataFrame:
     """(id, th, pos, at): the places whose hash occurs again, by document."""
     known = F.col("at").isNotNull()
     key = F.when(known, F.xxhash64("id", "th")).otherwise(F.col("h"))
-    often = F.count("*").over(Window.partitionBy(key, known))
+    tail = F.when(known, F.lit(0)).otherwise(F.col("pos").bitwiseAND(F.lit(0xFFFFFFFF)))
+    often = F.count("*").over(Window.partitionBy(key, known, tail))
     found = rows.withColumn("_n", often).where(F.col("th").isNotNull() & (known | (F.col("_n") > 1)))
-    return found.groupBy("id", "th").agg(F.collect_list("pos").alias("pos"), F.collect_list("at").alias("at"))
+    return found.groupBy("id", "th").agg(F.collect_list(F.shiftright("pos", 32).cast("int")).alias("pos"), F.collect_list("at").alias("at"))
 
 
 def with_places(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
@@ -124,7 +129,7 @@ def with_places(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
 def repeated_windows(docs: DataFrame, window: int = WINDOW, first: int = FIRST) -> DataFrame:
     """(id, th, pos, at) of the windows of (id, th, text) that start more than once."""
     found, before = None, None
-    rows = T.StructType([T.StructField("h", T.LongType()), T.StructField("id", docs.schema["id"].dataType), T.StructField("th", T.LongType()), T.StructField("pos", T.IntegerType()), T.StructField("at", T.BinaryType())])
+    rows = T.StructType([T.StructField("h", T.LongType()), T.StructField("id", docs.schema["id"].dataType), T.StructField("th", T.LongType()), T.StructField("pos", T.LongType()), T.StructField("at", T.BinaryType())])
     for length in lengths(window, first):
         source = docs if found is None else with_places(docs, found, "inner")
         found = repeated(source.mapInArrow(_candidates(length, before, window), rows))
@@ -143,7 +148,7 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
     fields = T.StructType([*docs.schema, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType()), *([T.StructField("kept_text", T.StringType())] if texts else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced_by_size(batches, keep.index(text)):
             sizes, gone, digests, left = [], [], [], []
             pos, at = batch.column(len(keep)), batch.column(len(keep) + 1)
             for k, value in enumerate(batch.column(batch.schema.names.index(text))):
