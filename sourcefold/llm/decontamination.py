@@ -12,18 +12,19 @@ nothing; columns of the input that bear an added column's name are replaced.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import sliced, without
+from .common import sliced, stored, without
 
 WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 ADDED = ["n_words", "n_hit", "items", "contaminated", "clean_text"]
 #: Bytes of item texts in one automaton. A larger benchmark is matched in blocks of about this size.
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 4_000_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -55,6 +56,9 @@ class Automaton:
                     matched = self.length[state]
                 if matched >= size:
                     self.windows.setdefault(state, {}).setdefault(size, set()).add(item)
+        # from now on all moves are in one table, which takes a fraction of the memory of one for each state
+        self.moves = {state * base + w: to for state, moves in enumerate(self.next) for w, to in moves.items()}
+        self.link, self.length, self.next = array("i", self.link), array("i", self.length), []
 
     def _state(self, length: int, moves: dict[int, int], link: int) -> int:
         self.next.append(moves)
@@ -86,11 +90,17 @@ class Automaton:
             if at >= 0:
                 self.link[last] = self._split(at, w, self.next[at][w])
 
+    def _to(self, state: int, w: int) -> int | None:
+        if self.next:
+            return self.next[state].get(w)
+        return self.moves.get(state * len(self.vocabulary) + w) if w >= 0 else None
+
     def step(self, state: int, matched: int, w: int) -> tuple[int, int]:
-        while state and w not in self.next[state]:
+        to = self._to(state, w)
+        while state and to is None:
             state = self.link[state]
             matched = self.length[state]
-        to = self.next[state].get(w)
+            to = self._to(state, w)
         return (to, matched + 1) if to is not None else (0, 0)
 
     def ends(self, state: int, matched: int) -> tuple[int, frozenset]:
@@ -172,6 +182,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     between = T.StructType([*kept, T.StructField("_hit_spans", T.ArrayType(T.IntegerType())), T.StructField("_hit_items", T.ArrayType(T.StringType()))])
     final = T.StructType([*kept, *(T.StructField(n, t) for n, t in (("n_words", T.LongType()), ("n_hit", T.LongType()), ("items", T.ArrayType(T.StringType())), ("clean_text", T.StringType())))])
     for block in range(blocks):
+        if block:  # one automaton at a time is in a worker's memory
+            out = stored(out)
         own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block)
         automaton = spark.sparkContext.broadcast(Automaton([(r.i, words_of(r.t)) for r in own.sort("i", "t").collect()], window))
         last = block == blocks - 1
