@@ -102,12 +102,11 @@ def with_verdicts(counted: DataFrame, hosts: DataFrame, host: str) -> DataFrame:
 
 
 def judge(docs: DataFrame, *, text: str = "text", host: str = "source", max_rate: float = 0.9, keep: list[str] | None = None) -> DataFrame:
-    """The kept columns of docs with the counts, base_failed and kept.
-
-    Only the host and the verdict of each row are read again for the hosts' rates; texts aren't shuffled.
-    """
-    hosts = stored(host_verdicts(rule_counts(docs, text, [host]), host, max_rate))
-    return with_verdicts(rule_counts(without(docs, ["kept"]), text, keep), hosts, host)
+    """The kept columns of docs (all by default) with the counts, base_failed and kept. Texts are read and counted once, and not shuffled."""
+    keep = [c for c in docs.columns if c.lower() != "kept"] if keep is None else keep
+    counted = stored(rule_counts(docs, text, list(dict.fromkeys([*keep, host]))))
+    found = with_verdicts(counted, stored(host_verdicts(counted, host, max_rate)), host)
+    return found.select(*[f"`{c}`" for c in found.columns if c != host or host in keep])
 
 
 def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
