@@ -76,3 +76,27 @@ def test_ids_are_the_librarys(steps):
     given = texts(steps[4])
     for r in steps[5].collect():
         assert r["ids"] == library.encode(given[r.doc_id], add_special_tokens=False).ids and r.n_tokens == len(r["ids"])
+
+
+CLASHES = ["N_words", "kept", "base_failed", "items", "Spans", "clean_text", "component_id", "ids", "_rest"]
+
+
+def test_stages_take_edges_and_keep_clashing_columns(spark, tmp_path):
+    good = " ".join(f"w{i}" for i in range(80))
+    other = " ".join(f"v{i}" for i in range(80)) + " mail me@x.org"
+    rows = [(1, good, "en", "a"), (1, good, "en", "a"), (2, good, None, None), (3, other, "en", "a"), (4, None, "en", "a"), (5, "", "en", None), (None, other.upper(), None, "b"), (6, "short", "en", "b")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} int" for c in CLASHES)
+    docs = spark.createDataFrame([(*r, len(r[1] or ""), *range(900, 900 + len(CLASHES))) for r in rows], schema)
+    spark.createDataFrame([(1, "nothing of this stands there")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for table in (docs, docs.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            found = stage(spark, table, str(tmp_path))
+            assert found.columns == docs.columns and found.dtypes == docs.dtypes, name
+            kept = found.collect()
+            assert all([r[c] for c in CLASHES] == list(range(900, 900 + len(CLASHES))) for r in kept), name
+            table = spark.createDataFrame(kept, schema)
+        ids = corpus_pipeline.STAGES[-1][1](spark, table, str(tmp_path)).collect()
+        assert len(ids) == len(kept)
+        if kept:
+            assert sorted((r.doc_id or -1, r.text) for r in kept) == [(-1, other.upper().replace("ME@X.ORG", "[EMAIL]")), (1, good), (3, other.replace("me@x.org", "[EMAIL]"))]
+            assert all(r.n_chars == len(r.text) for r in kept)
