@@ -8,7 +8,8 @@ Documents with equal sets are one node. Inside a band's bucket, pairs aren't lis
 pivot, then the members that are still apart with the one that has most common shingles. What that leaves apart is
 settled exactly by prefixes: of two linked sets, put in order from the rarest shingle to the commonest, the first
 n - ceil(threshold * n) + 1 of each share one, so only nodes of different components that share such a shingle, and
-whose sizes and places in the order allow the link, are compared.
+whose sizes and places in the order allow the link, are compared. Where the first shingle that two sets share is a
+common one, all that they share are: then they must also lie in one bucket and hold common shingles enough.
 
 Defined cases: a null or empty text, or one without words, has no shingle, is linked with nothing and kept; so is a
 row with a null id, whose component is null; rows that repeat an id belong to one class with all their texts; ties go
@@ -130,7 +131,7 @@ def prefixes(docs: DataFrame, nodes: DataFrame, opened: DataFrame, shingle: int,
     """(node, n, common, prefix) of the open nodes.
 
     common: how many of the n shingles stand in more than RARE of them. prefix: those of the first n - ceil(threshold
-    * n) + 1 shingles, from the rarest on, that stand in several, as structs (place in the order, s).
+    * n) + 1 shingles, from the rarest on, that stand in several, as structs (place in the order, s, often: common).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,31 +146,37 @@ def prefixes(docs: DataFrame, nodes: DataFrame, opened: DataFrame, shingle: int,
     # a set, since rows that repeat both id and text are read twice
     held = join_counted(rows, often, ["s"], "df").groupBy("node").agg(F.sort_array(F.collect_set(F.struct("df", "s"))).alias("shared"))
     held = nodes.select("node", "n").join(held, "node").withColumn("first", F.col("n") - F.size("shared"))
-    place = F.transform("shared", lambda x, i: F.struct((F.col("first") + i).alias("place"), x["s"].alias("s")))
+    place = F.transform("shared", lambda x, i: F.struct((F.col("first") + i).alias("place"), x["s"].alias("s"), (x["df"] > RARE).alias("often")))
     # whole numbers: n - ceil(threshold * n / 100) + 1 - first
     size = F.greatest(F.floor(F.col("n") * (100 - threshold) / 100).cast("int") + 1 - F.col("first").cast("int"), F.lit(0))
     common = F.size(F.filter("shared", lambda x: x["df"] > RARE))
     return stored(held.select("node", "n", common.alias("common"), F.slice(place, F.lit(1), size).alias("prefix")))
 
 
-def prefix_pairs(members: DataFrame, threshold: int) -> DataFrame:
-    """(a, b): nodes of different components that share a prefix shingle and may be linked, from (node, comp, n, prefix).
+def in_blocks(rows: DataFrame, on: str, columns: list[str], apart) -> DataFrame:
+    """Pairs of rows with equal `on` for which `apart` holds, their columns with _a and _b. A frequent key is dealt in blocks."""
+    counted = rows.groupBy(on).agg(F.count("*").alias("m")).where("m > 1")
+    rows = stored(join_counted(rows, stored(counted), [on], "m").withColumn("blocks", F.ceil(F.col("m") / BLOCK)))
+    left = rows.select(on, *(F.col(c).alias(f"{c}_a") for c in columns), F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
+    right = rows.select(on, *(F.col(c).alias(f"{c}_b") for c in columns), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    return left.join(right, [on, "block"]).where((F.col("node_a") < F.col("node_b")) & apart)
 
-    Of each shingle the nodes of its largest component aren't paired among themselves; the rest is dealt in blocks.
-    """
-    own = stored(members.select("node", "comp", "n", F.explode("prefix").alias("x")).select("node", "comp", "n", "x.*"))
-    comps = own.groupBy("s", "comp").agg(F.count("*").alias("m"))
-    mixed = comps.groupBy("s").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.count("*").alias("comps"), F.sum("m").alias("m")).where("comps > 1")
-    own = stored(join_counted(own, stored(mixed.select("s", "main", "m")), ["s"], "m").withColumn("blocks", F.ceil(F.col("m") / BLOCK)))
-    left = own.where("comp <> main").select("s", *(F.col(c).alias(f"{c}_a") for c in ("node", "comp", "n", "place")), F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
-    right = own.select("s", *(F.col(c).alias(f"{c}_b") for c in ("node", "comp", "n", "place", "main")), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
-    apart = (F.col("comp_a") != F.col("comp_b")) & ((F.col("node_a") < F.col("node_b")) | (F.col("comp_b") == F.col("main_b")))
-    # of the shingles from these places on, no more than the shorter rest can be shared, and before them none but rarer ones, which give their own rows
-    sizes = F.lit(100) * F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b")
-    pairs = left.join(right, ["s", "block"]).where(apart & sizes)
+
+def prefix_pairs(members: DataFrame, opened: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): nodes of different components that may be linked, from (node, comp, n, common, prefix) and buckets (key, node)."""
+    apart = (F.col("comp_a") != F.col("comp_b")) & (F.lit(100) * F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b"))
+    rare = stored(members.select("node", "comp", "n", F.explode(F.filter("prefix", lambda x: ~x["often"])).alias("x")).select("node", "comp", "n", "x.place", "x.s"))
+    mixed = rare.groupBy("s").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most").select("s")
+    pairs = in_blocks(rare.join(few(stored(mixed)), "s", "left_semi"), "s", ["node", "comp", "n", "place"], apart)
+    # from the first shingle that they share on, no more than the shorter rest can be shared
     pairs = pairs.groupBy("node_a", "node_b").agg(F.min_by(F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")), "place_a").alias("rest"), (F.first("n_a") + F.first("n_b")).alias("n"))
-    pairs = pairs.where(F.lit(100) * F.col("rest") >= F.lit(threshold) * (F.col("n") - F.col("rest")))
-    return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    pairs = pairs.where(F.lit(100) * F.col("rest") >= F.lit(threshold) * (F.col("n") - F.col("rest"))).select("node_a", "node_b")
+    often = members.select("node", "comp", "n", "common", F.transform(F.filter("prefix", lambda x: x["often"]), lambda x: x["s"]).alias("often"))
+    often = often.where((F.size("often") > 0) & (F.lit(100) * F.col("common") >= F.lit(threshold) * F.col("n")))
+    least = F.least("common_a", "common_b")
+    enough = (F.lit(100) * least >= F.lit(threshold) * (F.col("n_a") + F.col("n_b") - least)) & F.arrays_overlap("often_a", "often_b")
+    more = in_blocks(opened.select("key", "node").join(few(stored(often)), "node"), "key", ["node", "comp", "n", "common", "often"], apart & enough)
+    return pairs.union(more.select("node_a", "node_b")).distinct().select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
 def repeated_ids(found: DataFrame, nodes: DataFrame) -> DataFrame | None:
@@ -217,8 +224,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text: str = "tex
         second = stored(pairs.select(F.least("a.node", "node").alias("a"), F.greatest("a.node", "node").alias("b")).distinct().join(first, ["a", "b"], "left_anti"))
         links = stored(links.union(confirmed(docs, nodes, second, shingle, threshold)))
         classes = components(links)
-        apart = open_members(opened.select("key", "node"), classes).select("node", "comp").distinct()
-        third = prefix_pairs(apart.join(kept, "node"), threshold).join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti")
+        opened = open_members(opened.select("key", "node"), classes)
+        third = prefix_pairs(opened.select("node", "comp").distinct().join(kept, "node"), opened, threshold).join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti")
         classes = components(links.union(confirmed(docs, nodes, stored(third), shingle, threshold)))
     # a class bears its smallest id
     own = nodes.join(few(classes.select(F.col("node").alias("_n"), "comp")), F.col("node") == F.col("_n"), "left").select("one", "two", F.col("n").alias("n_shingles"), "id", "m", "comp")

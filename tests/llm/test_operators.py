@@ -249,10 +249,12 @@ def test_a_stretched_group_is_settled_exactly(spark):
     rng.shuffle(docs)
     found = neardup.near_duplicates(frame(spark, docs), shingle=3, threshold=85, hashes=60).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == brute_classes(docs, 3, 85)
-    # all pairs that prefixes give hold all links between components
-    nodes = [(k, k, 10, 1) for k in range(4)]
-    members = spark.createDataFrame([(n, c, size, [(p, s) for p, s in ((0, 1), (1, 2))]) for n, c, size, _ in nodes], "node long, comp long, n long, prefix array<struct<place: long, s: long>>")
-    assert {(r.a, r.b) for r in neardup.prefix_pairs(members, 85).collect()} == {(a, b) for a in range(4) for b in range(a + 1, 4)}
+    # rare shingles and common ones in one bucket give all pairs of different components
+    for often in (False, True):
+        rows = [(k, k, 10, 10, [(0, 1, often), (1, 2, often)]) for k in range(4)]
+        members = spark.createDataFrame(rows, "node long, comp long, n long, common long, prefix array<struct<place: long, s: long, often: boolean>>")
+        buckets = spark.createDataFrame([(7, k) for k in range(4)], "key long, node long")
+        assert {(r.a, r.b) for r in neardup.prefix_pairs(members, buckets, 85).collect()} == {(a, b) for a in range(4) for b in range(a + 1, 4)}
 
 
 def test_frequent_keys_are_joined_like_others(spark, monkeypatch):
