@@ -94,18 +94,19 @@ def io09(spark, sf):
 
 @query("io10_keyed_sidecar", "SELECT DISTINCT url, length(url) AS n FROM pages")
 def io10(spark, sf):
-    path = files.scratch(spark)
-    table(spark, sf, "pages").groupBy((c("page_id") % 8).alias("part")).agg(F.to_json(F.map_from_entries(F.collect_set(F.struct("url", F.struct(F.length("url").alias("n")))))).alias("value")).select("value").write.text(path)
+    path, pages = files.scratch(spark), table(spark, sf, "pages")
+    parts = 1 + pages.count() // 1000  # of about so many entries each
+    pages.groupBy(F.pmod(F.xxhash64("url"), F.lit(parts)).alias("part")).agg(F.to_json(F.map_from_entries(F.collect_set(F.struct("url", F.struct(F.length("url").alias("n")))))).alias("value")).select("value").write.text(path)
     read = spark.read.text(path).select(F.explode(F.from_json("value", "map<string, struct<n: bigint>>")).alias("url", "v"))
     return read.select("url", c("v.n").alias("n")).distinct()
 
 
-@query("io12_page_text_by_source", "SELECT page_id, length(html) AS n FROM pages WHERE page_id % 2 = 0")
+@query("io12_page_text_by_source", "SELECT page_id, length(html) AS n FROM pages")
 def io12(spark, sf):
     path = files.scratch(spark)
     pages = table(spark, sf, "pages").withColumn("source_id", F.concat(links.source_id(c("url")), F.lit("-"), c("page_id").cast("string")))
     pages.select("source_id", c("html").alias("text")).write.parquet(path)
-    return pages.where("page_id % 2 = 0").select("page_id", "source_id").join(spark.read.parquet(path), "source_id").select("page_id", F.length("text").cast("long").alias("n"))
+    return pages.select("page_id", "source_id").join(spark.read.parquet(path), "source_id").select("page_id", F.length("text").cast("long").alias("n"))
 
 
 @query("sel03_skip_by_type", "SELECT site_id, CASE WHEN facility_type = 'BUILDING' THEN 'own type' WHEN site_id IN (SELECT p_partkey FROM part WHERE p_size < 10) THEN 'reviewed list' END AS reason FROM {fx_sites}")

@@ -42,9 +42,9 @@ def nr03(spark, sf):
     return nested.merged_passes(read(spark, sf)).groupBy("site_id", "pass", c("source_index").cast("long").alias("source_index"), "merged_index").agg(F.count("*").alias("n"))
 
 
-@query("nr04_evidence_ids", f"WITH {INDEXED} SELECT 'ev-' || site_id || '-S' || lpad((source_index + 1)::VARCHAR, 3, '0') || '-' || lpad((value_index + 1)::VARCHAR, 3, '0') AS id, attribute_name FROM x WHERE pass = 0")
+@query("nr04_evidence_ids", f"WITH {INDEXED} SELECT 'ev-' || site_id || '-S' || lpad((source_index + 1)::VARCHAR, 3, '0') || '-' || lpad((value_index + 1)::VARCHAR, 3, '0') AS id, attribute_name FROM x")
 def nr04(spark, sf):
-    return read(spark, sf).where("pass = 0").select(nested.evidence_id("site_id", "source_index", "value_index").alias("id"), "attribute_name")
+    return read(spark, sf).select(nested.evidence_id("site_id", "source_index", "value_index").alias("id"), "attribute_name")
 
 
 @query("nr07_found_attributes", "SELECT site_id, pass, count(DISTINCT attribute_name) AS attributes, count(DISTINCT url) AS urls FROM {fx_flat} GROUP BY ALL")
