@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, functions as F
 
+#: What a year and a partial date look like.
 YEAR = r"\b(1[89]\d{2}|20\d{2})\b"
 DATE = r"\b(1[89]\d{2}|20\d{2})(?:-(\d{1,2}))?(?:-(\d{1,2}))?"
 EARLIEST = 1950

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import dates, geo, links, text, tiers, units
+from ..sources import tables as files
 from . import views  # noqa: F401
 from .registry import query, table
 
@@ -225,7 +226,15 @@ def sc49(spark, sf):
 
     own = text.id_text(F.when(c("c_custkey") % 2 == 0, F.concat(c("c_custkey").cast("string"), F.lit(".0"))).otherwise(F.concat(F.lit("x"), c("c_custkey").cast("string"))))
     number = F.expr("try_cast(id AS BIGINT)")
-    return table(spark, sf, "customer").select("c_custkey", own.alias("id")).withColumn("place", F.row_number().over(Window.orderBy(number.isNull(), number, "id")).cast("long"))
+    order = [number.isNull(), number, c("id")]
+    # dealt by ranges of the order and numbered in each; a range's offset is the rows of those before it
+    path = files.scratch(spark)
+    table(spark, sf, "customer").select("c_custkey", own.alias("id")).repartitionByRange(*order).withColumn("part", F.spark_partition_id()).write.parquet(path)
+    dealt = spark.read.parquet(path)
+    sizes = dealt.groupBy("part").agg(F.count("*").alias("n"))
+    offsets = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - c("n")).alias("offset"))
+    placed = dealt.withColumn("own", F.row_number().over(Window.partitionBy("part").orderBy(*order))).join(F.broadcast(offsets), "part")
+    return placed.select("c_custkey", "id", (c("own") + c("offset")).cast("long").alias("place"))
 
 
 @query("sc50_control_characters", "SELECT doc_id, length(regexp_replace(text, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', ' ', 'g')) AS n, md5(regexp_replace(text, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', ' ', 'g')) AS h FROM documents")

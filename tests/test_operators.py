@@ -145,3 +145,12 @@ def test_pinned_rows_and_replies(spark, tmp_path):
         pass
     get = lambda x: one(spark, lambda t: tables.tolerant_json(t, "a int")["a"], x)
     assert get('{"a": 1}') == 1 and get('```json\n{"a": 2}\n```') == 2 and get('So: {"a": 3}.') == 3 and get("none") is None
+
+
+def test_written_numbers(spark):
+    from sourcefold.functions import units
+
+    wanted = {"1 400": [1400.0], "1.400.000": [1400000.0], "1,4": [1.4], "3 - 8": [3.0, 8.0], "-5": [-5.0], "1.5e-2": [0.015], "1,400,000.5": [1400000.5], "1.234,5": [1234.5], "140.000": [140.0], "1400.000": [1400000.0], "10 t (2 300)": [10.0, 2300.0], "none": []}
+    rows = spark.createDataFrame([(v,) for v in wanted] + [(None,)], "v string")
+    found = {r.v: r.n for r in rows.select("v", units.numbers(F.col("v")).alias("n")).collect()}
+    assert found == wanted | {None: []}
