@@ -17,11 +17,16 @@ def sc04(spark, sf):
     return table(spark, sf, "events").select("event_id", values.mapped(F.upper("event_type"), {"click": "Clicked", "View": "Viewed"}, ["purchase", "Clicked"]).alias("kind"))
 
 
-@query("sc15_methane", "SELECT event_id, round(CASE event_id % 5 WHEN 0 THEN value * 1e6 * 0.0192 / 1000 * 365 WHEN 1 THEN value * 0.679 / 1000 WHEN 2 THEN value * 0.0192 / 1000 * 525600 END, 4) AS tonnes FROM (SELECT event_id, round(value, 2) AS value FROM events)")
+#: What stands after the number, its unit, and the tonnes a year of value.
+METHANE = [("", "MMSCFD", "value * 1e6 * 0.0192 / 1000 * 365"), ("", "m3/year", "value * 0.679 / 1000"), ("", "scfm", "value * 0.0192 / 1000 * 525600"), ("", "m3 of landfill gas", "NULL"), ("", "t CO2e", "NULL"), (" million", "cubic feet", "value * 1e6 * 0.0192 / 1000"), ("", "ft³ per day", "value * 0.0192 / 1000 * 365"), ("", "m³/month", "value * 0.679 / 1000 * 12"), ("", "m3 of biogas (methane part)", "value * 0.679 / 1000"), (" CH4", "ft3 of LFG/hour", "value * 0.0192 / 1000 * 8760"), ("", "thousand cubic metres", "value * 1e3 * 0.679 / 1000"), ("", "MCF", "value * 1e3 * 0.0192 / 1000"), ("", "tonnes", "NULL")]
+
+
+@query("sc15_methane", f"SELECT event_id, round(CASE event_id % {len(METHANE)} {' '.join(f'WHEN {k} THEN {x}' for k, (_, _, x) in enumerate(METHANE))} END, 9) AS tonnes FROM (SELECT event_id, round(value, 2) AS value FROM events)")
 def sc15(spark, sf):
-    k = c("event_id") % 5
-    unit = F.when(k == 0, "MMSCFD").when(k == 1, "m3/year").when(k == 2, "scfm").when(k == 3, "m3 of landfill gas").otherwise(F.lit("t CO2e"))
-    return table(spark, sf, "events").select("event_id", F.round(values.ch4_tonnes(F.format_string("%.2f", F.round("value", 2)), unit), 4).alias("tonnes"))
+    k = (c("event_id") % len(METHANE) + 1).cast("int")
+    after, unit = (F.element_at(F.array(*[F.lit(m[i]) for m in METHANE]), k) for i in (0, 1))
+    said = F.concat(F.format_string("%.2f", F.round("value", 2)), after)
+    return table(spark, sf, "events").select("event_id", F.round(values.ch4_tonnes(said, unit), 9).alias("tonnes"))
 
 
 @query("sc16_convert_by_attribute", f"SELECT l_orderkey, l_linenumber, round(({FACTORS})::DOUBLE * first * magnitude * ({RATES})::DOUBLE, 4) AS yearly FROM ({QUANTITY})")
@@ -109,6 +114,15 @@ def io12(spark, sf):
     return pages.select("page_id", "source_id").join(spark.read.parquet(path), "source_id").select("page_id", F.length("text").cast("long").alias("n"))
 
 
+@query("io14_fixed_header", "SELECT p_partkey, p_name, '' AS note FROM part WHERE p_size % 2 = 0")
+def io14(spark, sf):
+    path, parts = files.scratch(spark), table(spark, sf, "part")
+    header = ["p_partkey", "p_name", "note"]
+    files.write_fixed(parts.where("p_size % 2 = 1"), path, header)
+    files.write_fixed(parts.where("p_size % 2 = 0"), path, header)
+    return spark.read.parquet(path).select("p_partkey", "p_name", F.coalesce("note", F.lit("")).alias("note"))
+
+
 @query("sel03_skip_by_type", "SELECT site_id, CASE WHEN facility_type = 'BUILDING' THEN 'own type' WHEN site_id IN (SELECT p_partkey FROM part WHERE p_size < 10) THEN 'reviewed list' END AS reason FROM {fx_sites}")
 def sel03(spark, sf):
     listed = table(spark, sf, "part").where("p_size < 10").select(c("p_partkey").alias("site_id"), F.lit("reviewed list").alias("listed"))

@@ -1,8 +1,10 @@
 """Operators on literal rows, and what must hold whatever the order of the rows."""
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
-from sourcefold.functions import dates, links, names, points, text, tiers, units
+from sourcefold.functions import dates, grids, links, names, points, text, tiers, units, values
 from sourcefold.operators import pages, pairs, resolve, review, seed, spatial, upsert
 from sourcefold.sources import tables
 from sourcefold.streaming import run_log
@@ -154,3 +156,33 @@ def test_written_numbers(spark):
     rows = spark.createDataFrame([(v,) for v in wanted] + [(None,)], "v string")
     found = {r.v: r.n for r in rows.select("v", units.numbers(F.col("v")).alias("n")).collect()}
     assert found == wanted | {None: []}
+
+
+def test_grid_references(spark):
+    def read(said, country=""):
+        return one(spark, lambda x: grids.grid_reference(x, F.lit(country)), said)
+
+    def near(p, lat, lon, off=2e-5):
+        assert abs(p.lat - lat) < off and abs(p.lon - lon) < off, p
+
+    # the Ordnance Survey's own worked example, in its datum and in WGS84
+    example = one(spark, lambda x: grids.to_wgs84(F.lit(651409.903), F.lit(313177.270), dataclasses.replace(grids.BRITISH, shift=(0.0, 0.0, 0.0), turn=(0.0, 0.0, 0.0), stretch=0.0)), "")
+    near(example, 52 + 39 / 60 + 27.2531 / 3600, 1 + 43 / 60 + 4.5177 / 3600, 1e-8)
+    near(read("TG 51409 13177", "GBR"), 52.65798, 1.71605)
+    near(read("O 15904 34671", "IRL"), 53.3498, -6.26024, 5e-5)
+    near(read("ITM 715830 734697"), 53.34979, -6.26024, 2e-3)
+    assert read("E 531090 N 180600", "gbr") == read("Easting: 531090 Northing: 180600", "GBR") == read("N 180600, E 531090", "GBR")
+    assert read("E 531090 N 180600", "FRA") is None
+    assert read("Licence W0123, grid ref T 285 935", "IRL").basis == "grid reference"
+    coarse = read("TQ 28 80", "GBR")
+    assert coarse.basis == "hint" and abs(coarse.uncertainty_km - 0.7071) < 1e-3
+    assert read("T 285 935", "FRA") is None and read("TQ 285 93", "GBR") is None and read("ZZ 285 935", "GBR") is None
+    assert read("") is None and read(None, "GBR") is None and read("x" * 100_000, "GBR") is None
+
+
+def test_methane_volumes(spark):
+    read = lambda value, unit: one(spark, lambda x: values.ch4_tonnes(x, F.lit(unit)), value)
+    assert abs(read("5 million", "cubic feet") - 96) < 1e-9
+    assert abs(read("1000", "ft³") - 0.0192) < 1e-12 and abs(read("1000", "m³/day") - 0.679 * 365) < 1e-9
+    assert read("10", "m3 landfill gas") is None and read("10", "m3 landfill gas (methane part)") is not None and read("10 CH4", "m3 LFG") is not None
+    assert read("10", "t CO2e") is None and read("10", "tonnes") is None and read("", "m3") is None and read(None, "m3") is None
