@@ -159,13 +159,14 @@ def jn16(spark, sf):
     return review.rivals(table(spark, sf, "fx_found"), ["site_id", "attribute"]).select("ord", "attribute", "value", "rivals")
 
 
-@query("jn21_only_ids_changed", "SELECT 0::BIGINT AS differences")
+@query("jn21_only_ids_changed", "WITH a AS (SELECT * EXCLUDE (site_id) FROM {fx_found}), b AS (SELECT * EXCLUDE (site_id) REPLACE (CASE WHEN ord % 97 = 0 THEN value || '!' ELSE value END AS value) FROM {fx_found} WHERE ord % 89 <> 0) SELECT attribute, count(*) AS differences FROM ((SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT ALL SELECT * FROM a)) GROUP BY attribute")
 def jn21(spark, sf):
     from ..operators.upsert import different
 
     rows = table(spark, sf, "fx_found")
-    moved = rows.withColumn("site_id", c("site_id") + 1_000_000)
-    return different(rows.drop("site_id"), moved.drop("site_id")).agg(F.count("*").alias("differences"))
+    changed = F.when(c("ord") % 97 == 0, F.concat("value", F.lit("!"))).otherwise(c("value"))
+    moved = rows.where("ord % 89 <> 0").withColumns({"site_id": c("site_id") + 1_000_000, "value": changed})
+    return different(rows.drop("site_id"), moved.drop("site_id")).groupBy("attribute").agg(F.count("*").alias("differences"))
 
 
 @query("ag08_closures", "SELECT site_id, string_agg(DISTINCT value, '; ' ORDER BY value) AS reported FROM {fx_found} WHERE attribute = 'facility_status' AND value = 'Closed' GROUP BY site_id")
