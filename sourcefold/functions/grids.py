@@ -31,7 +31,8 @@ IRISH = Grid(6377340.189, 6356034.447938534, 1.000035, 53.5, -8.0, 200000.0, 250
 ITM = Grid(6378137.0, 6356752.314140356, 0.99982, 53.5, -8.0, 600000.0, 750000.0)
 WGS84 = (6378137.0, 6356752.314245179)
 
-FINE_DIGITS = 3  # each side: 100 m
+# Digits of each side from which a reference is a location (100 m), and how references and labelled metres are written.
+FINE_DIGITS = 3
 REFERENCE = r"(?<![A-Za-z])([A-HJ-Z]{1,2}) ?(\d{2,10})(?: (\d{1,5}))?(?![\w.])"
 EAST = r"(?<![A-Za-z])(?:(?i:eastings?)|[EX]) ?[:=]? ?(\d{5,7}(?:\.\d+)?)(?![\d.])"
 NORTH = r"(?<![A-Za-z])(?:(?i:northings?)|[NY]) ?[:=]? ?(\d{5,7}(?:\.\d+)?)(?![\d.])"
