@@ -100,6 +100,11 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def batches_by_size(spark: SparkSession) -> None:
+    """Arrow batches of some 16 MB at most: rows that carry texts or whole sets are large, and batches of skinny rows keep Spark's number."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 * 2**20))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Only a local session, as in tests, gets one made where that is unset."""
     context = spark.sparkContext

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, centroids, chat, decontamination, licences, neardup, prefixes, private, quality, shuffling, substrings, tokenfiles
+from . import bpe, centroids, chat, decontamination, licences, neardup, prefixes, private, quality, setjoin, shuffling, substrings, tokenfiles
 
 QUERIES = {
     "op1_benchmark_decontamination": decontamination.op1_benchmark_decontamination,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_shuffled_shards": shuffling.op8_shuffled_shards,
     "op9_forced_boundary_bpe": bpe.op9_forced_boundary_bpe,
     "op10_licence_sentences": licences.op10_licence_sentences,
+    "op11_set_join": setjoin.op11_set_join,
     "op12_centroids": centroids.op12_centroids,
     "op13_prefix_trie": prefixes.op13_prefix_trie,
 }
@@ -26,6 +27,7 @@ ORACLES = {
     "op5_reply_trees": chat.OP5_SQL,
     "op6_quality_rules": quality.OP6_SQL,
     "op10_licence_sentences": licences.OP10_SQL,
+    "op11_set_join": setjoin.OP11_SQL,
     "op12_centroids": centroids.OP12_SQL,
     "op13_prefix_trie": prefixes.OP13_SQL,
 }
