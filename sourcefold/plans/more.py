@@ -34,12 +34,13 @@ def sc16(spark, sf):
     return table(spark, sf, "fx_quantity").select("l_orderkey", "l_linenumber", F.round(values.converted(F.lit("annual_incoming_waste_metric_tonnes"), c("value"), c("unit")), 4).alias("yearly"))
 
 
-@query("sc18_normalise_value", """SELECT ord, CASE WHEN attribute = 'area' THEN CASE unit WHEN 'ha' THEN (value::BIGINT * 10000)::VARCHAR WHEN '' THEN value END ELSE nullif(trim(value), '') END AS usable,
-  CASE WHEN trim(value) = '' THEN 'empty' WHEN attribute = 'area' AND unit = 'furlongs' THEN 'unit' END AS reason FROM {fx_values} WHERE NOT (attribute = 'area' AND unit NOT IN ('ha', '', 'furlongs')) AND attribute <> 'annual_incoming_waste_metric_tonnes'""")
+@query("sc18_normalise_value", r"""SELECT ord, CASE WHEN reason IS NULL THEN CASE WHEN area OR rate THEN regexp_replace(regexp_replace(printf('%.6f', value::DOUBLE * CASE WHEN rate THEN 1 ELSE f END), '0+$', ''), '\.$', '') ELSE trim(value) END END AS usable, reason FROM (
+  SELECT *, CASE WHEN trim(value) = '' THEN 'empty' WHEN area AND unit = 'furlongs' OR rate AND unit <> '' THEN 'unit' END AS reason FROM (
+    SELECT ord, value, unit, attribute = 'area' AS area, attribute = 'annual_incoming_waste_metric_tonnes' AS rate,
+      CASE unit WHEN 'acres' THEN 4046.856 WHEN 'ha' THEN 10000.0 WHEN 'sq. ft' THEN 0.092903 WHEN 'square miles' THEN 2589988.110336 ELSE 1.0 END::DOUBLE AS f FROM {fx_values}))""")
 def sc18(spark, sf):
-    rows = table(spark, sf, "fx_values").where("NOT (attribute = 'area' AND unit NOT IN ('ha', '', 'furlongs')) AND attribute <> 'annual_incoming_waste_metric_tonnes'")
     usable, reason = values.normalised(text.canonical_attribute(c("attribute")), c("value"), c("unit"))
-    return rows.select("ord", usable.alias("usable"), reason.alias("reason"))
+    return table(spark, sf, "fx_values").select("ord", usable.alias("usable"), reason.alias("reason"))
 
 
 @query("sc35_informative_tokens", "SELECT p_partkey, array_to_string(list_filter(string_split(lower(p_name), ' '), lambda w: length(w) > 2), ' ') AS tokens FROM part")

@@ -69,6 +69,16 @@ def sc09(spark, sf):
     return table(spark, sf, "fx_quantity").groupBy(units.unit_text(c("unit")).alias("unit")).agg(F.count("*").alias("n"))
 
 
+#: Units as sources of several languages write them, and in English.
+UNIT_WORDS = [("toneladas/año", "tonnes/year"), ("Tonnen/Jahr", "tonnes/year"), ("Mg/a", "tonnes/year"), ("to/Jahr", "tonnes/year"), ("toneladas métricas por día", "tonnes/day"), ("tonnellate al giorno", "tonnes/day"), ("ton/día", "tonnes/day"), ("metros cuadrados", "square meters"), ("Quilómetros Quadrados", "square kilometers"), ("metri cubi", "cubic meters"), ("hectáreas", "hectares"), ("кв. км", "square kilometers"), ("тыс. тонн в год", "тыс. tonnes/year"), ("m³/h", "m3/h"), ("toneladas anuales", "tonnes/year"), ("milyon ton", "milyon tonnes"), ("tons per yr", "tons/year"), ("MMCFD", "mmcf/day"), ("kilograms", "kg"), ("dönüm", "decares")]
+
+
+@query("sc09_unit_words", f"SELECT event_id, CASE event_id % {len(UNIT_WORDS)} {' '.join(f"WHEN {k} THEN '{to}'" for k, (_, to) in enumerate(UNIT_WORDS))} END AS unit FROM events")
+def sc09_words(spark, sf):
+    said = F.element_at(F.array(*[F.lit(u) for u, _ in UNIT_WORDS]), (c("event_id") % len(UNIT_WORDS) + 1).cast("int"))
+    return table(spark, sf, "events").select("event_id", units.unit_text(said).alias("unit"))
+
+
 FACTORS = "CASE u WHEN 0 THEN 1.0 WHEN 1 THEN 0.90718474 WHEN 2 THEN 0.001 WHEN 3 THEN 0.00045359237 WHEN 5 THEN 1.0 WHEN 9 THEN 1.0 WHEN 10 THEN 1.0160469088 WHEN 11 THEN 1.0 END"
 RATES = "CASE u WHEN 0 THEN 365.0 WHEN 5 THEN 12.0 WHEN 9 THEN 8760.0 WHEN 10 THEN 52.0 ELSE 1.0 END"
 

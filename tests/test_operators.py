@@ -189,3 +189,16 @@ def test_methane_volumes(spark):
     assert abs(read("1000", "ft³") - 0.0192) < 1e-12 and abs(read("1000", "m³/day") - 0.679 * 365) < 1e-9
     assert read("10", "m3 landfill gas") is None and read("10", "m3 landfill gas (methane part)") is not None and read("10 CH4", "m3 LFG") is not None
     assert read("10", "t CO2e") is None and read("10", "tonnes") is None and read("", "m3") is None and read(None, "m3") is None
+
+
+def test_units_are_read_in_several_languages(spark):
+    from sourcefold.functions import units, values
+
+    said = {"sq. ft": "sq. ft", "lb per annum": "lb/year", "metric tons/month": "metric tonnes/month", "квадратных метров": "square meters", "м3/час": "cubic meters/hour", "ft³ per day": "ft3/day", "Tonnen pro Tag": "tonnes/day", "kubikmeter": "cubic meters", "": "", None: "", "Mg": "tonnes", "mg": "mg", "ton/día": "tonnes/day", "tons/day": "tons/day", "metros cúbicos por hora": "cubic meters/hour", "toneladas métricas anuales": "tonnes/year", "кв. метр": "square meters", "/day": "/day"}
+    rows = spark.createDataFrame(list(enumerate(said)), "i int, u string")
+    assert {r.u: r.t for r in rows.select("u", units.unit_text(F.col("u")).alias("t")).collect()} == said
+    big = [("5", "mm", 1.0), ("5", "k", 1.0), ("5 mm", "", 1e6), ("1.2", "million tonnes", 1e6), ("1,4", "millones de toneladas", 1e6), ("3", "mil millones de t", 1e9), ("5 mil", "t", 1e3), ("2", "тыс. тонн", 1e3), ("2 bn", None, 1e9), ("5k", "", 1.0), ("5", "miles", 1.0), (None, None, 1.0)]
+    assert [r.m for r in spark.createDataFrame(big, "v string, u string, w double").select(units.magnitude(F.col("v"), F.col("u")).alias("m")).collect()] == [w for *_, w in big]
+    cases = [("annual_incoming_waste_metric_tonnes", "1,4", "millones de toneladas por año", "1400000"), ("annual_incoming_waste_metric_tonnes", "20 Mg/a", "", "20"), ("area_square_meters", "3", "hectáreas", "30000"), ("area_square_meters", "about 35.5", "", "35.5"), ("waste_in_place_metric_tonnes", "5", "t/day", None), ("annual_incoming_waste_metric_tonnes", "7", "tons", None)]
+    table = spark.createDataFrame(cases, "a string, v string, u string, w string")
+    assert [r.n for r in table.select(values.normalised(F.col("a"), F.col("v"), F.col("u"))[0].alias("n")).collect()] == [w for *_, w in cases]
