@@ -21,20 +21,21 @@ QUALIFIERS = "north south east west northeast northwest southeast southwest uppe
 SMALL = "de del la las los el y ahora now antes formerly h honorable s rl ac sc sapi sab".split()
 
 
-@F.pandas_udf(T.StringType())
-def folded(texts: pd.Series) -> pd.Series:
+def fold(text: str | None) -> str | None:
     """Case folded, compatibility forms written out, accents and format characters off, % as a word."""
+    if text is None:
+        return None
+    if text.isascii():
+        out = text.lower()
+    else:
+        out = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c) and unicodedata.category(c) != "Cf").casefold()
+    return out.replace("%", " percent ")
 
-    def one(text):
-        if text is None:
-            return None
-        if text.isascii():
-            out = text.lower()
-        else:
-            out = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c) and unicodedata.category(c) != "Cf").casefold()
-        return out.replace("%", " percent ")
 
-    return texts.map(one)
+@F.pandas_udf(T.StringType())
+def folded(texts: pd.Series) -> pd.Series:
+    """fold() of each text."""
+    return texts.map(fold)
 
 
 @F.pandas_udf(T.DoubleType())

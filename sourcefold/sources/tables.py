@@ -16,7 +16,17 @@ def scratch(spark: SparkSession) -> str:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
         top = tempfile.mkdtemp(prefix="sourcefold-")
-    return f"{top.rstrip('/')}/files-{uuid.uuid4().hex}"
+    path = f"{top.rstrip('/')}/files-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)  # results are lazy, so no sooner
+    return path
+
+
+def kept(rows: DataFrame) -> DataFrame:
+    """The same rows read from a table in the shared folder: what several steps use is worked out once, and lost executors cost no more."""
+    path = scratch(rows.sparkSession)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def read_csv(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
