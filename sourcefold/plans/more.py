@@ -39,8 +39,8 @@ def sc16(spark, sf):
     SELECT ord, value, unit, attribute = 'area' AS area, attribute = 'annual_incoming_waste_metric_tonnes' AS rate,
       CASE unit WHEN 'acres' THEN 4046.856 WHEN 'ha' THEN 10000.0 WHEN 'sq. ft' THEN 0.092903 WHEN 'square miles' THEN 2589988.110336 ELSE 1.0 END::DOUBLE AS f FROM {fx_values}))""")
 def sc18(spark, sf):
-    usable, reason = values.normalised(text.canonical_attribute(c("attribute")), c("value"), c("unit"))
-    return table(spark, sf, "fx_values").select("ord", usable.alias("usable"), reason.alias("reason"))
+    found = values.normal(text.canonical_attribute(c("attribute")), c("value"), c("unit"))
+    return table(spark, sf, "fx_values").select("ord", found.alias("n")).select("ord", "n.usable", "n.reason")
 
 
 @query("sc35_informative_tokens", "SELECT p_partkey, array_to_string(list_filter(string_split(lower(p_name), ' '), lambda w: length(w) > 2), ' ') AS tokens FROM part")
