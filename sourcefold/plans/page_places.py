@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions import coordinates, phrases
+from ..functions import addresses, coordinates, phrases
 from ..operators import page_places
 from . import views  # noqa: F401
 from .registry import VIEWS, query, table
@@ -104,3 +104,31 @@ def pj08_places(spark, sf):
     lat = F.when(k == 0, c("latitude") - 0.001).when(k == 8, c("latitude") + 0.5).otherwise(c("latitude"))
     stated = rows.select("source_id", address.alias("address"), said.alias("coordinates"), basis.alias("basis"), lat.alias("lat"), c("longitude").alias("lon"))
     return page_places.stated_places_on_pages(stated, rows.where("k <> 7").select("source_id", "text"), "source_id").select("source_id", "place_on_page")
+
+
+#: Addresses as sources write them ({n}: the supplier's name, {k}: its number), what is sent, what is sent again, and why nothing is.
+WRITTEN = [
+    ("{n}, {k} Mill Road, Springfield", "{k} Mill Road, Springfield, North", None, None),
+    ("P.O. Box {k}, Mill Road {k}", "Mill Road {k}, Springfield, North", None, None),
+    ("Km {k}", None, None, "kilometre marker"),
+    ("PO Box {k}", None, None, "post box alone"),
+    ("{n}", None, None, "a name alone"),
+    ("{k} High Street on NW 1/4 17-10-18 WPM in Springfield", "{k} High Street on NW 1/4 17-10-18 WPM in Springfield, Springfield, North", "{k} High Street, Springfield, North", None),
+    ("Lots A & B, {k} Dam Road (gate {k}), off Highway 11, Town of Springfield", "Lots A & B, {k} Dam Road (gate {k}), off Highway 11, Town of Springfield, North", "{k} Dam Road, Springfield, North", None),
+    ("", None, None, "no address"),
+    ("over there", None, None, "no street and no place"),
+]
+SENT = "CASE s_suppkey % {size} {whens} END"
+
+
+def _written(column: int) -> str:
+    told = lambda x: "NULL" if x is None else "replace('" + x.replace("'", "''").replace("{k}", "#") + "', '#', s_suppkey::VARCHAR)"
+    return SENT.format(size=len(WRITTEN), whens=" ".join(f"WHEN {k} THEN {told(w[column])}" for k, w in enumerate(WRITTEN)))
+
+
+@query("pj03_prepared_addresses", f"SELECT s_suppkey, {_written(1)} AS sent, {_written(2)} AS plainer, {_written(3)} AS refused FROM supplier")
+def pj03_prepared(spark, sf):
+    said = F.element_at(F.array(*[F.lit(w[0]) for w in WRITTEN]), (c("s_suppkey") % len(WRITTEN) + 1).cast("int"))
+    said = F.replace(F.replace(said, F.lit("{n}"), F.upper("s_name")), F.lit("{k}"), c("s_suppkey").cast("string"))
+    rows = table(spark, sf, "supplier").select("s_suppkey", addresses.prepared(said, F.array(c("s_name"), F.lit("Supplier")), F.lit("Springfield"), F.lit("North")).alias("p"))
+    return rows.select("s_suppkey", "p.sent", "p.plainer", "p.refused")

@@ -164,3 +164,46 @@ def test_stated_places_on_pages(spark):
     assert len(found) == len(said)
     for r in found:
         assert r.place_on_page == r.want, r
+
+
+def test_addresses_are_prepared(spark):
+    from sourcefold.functions import addresses
+
+    # address, names, town, state: sent, plainer, reasons, refused
+    cases = [
+        ("Brady Road Landfill, 1777 Brady Road, Winnipeg", ["Brady Road", "Brady Road Landfill"], "Winnipeg", "Manitoba", "1777 Brady Road, Winnipeg, Manitoba", None, ["name in front"], None),
+        ("Hartland Avenue 1", ["Hart"], "Victoria", None, "Hartland Avenue 1, Victoria", None, [], None),
+        ("SMITH & SONS: 12 Mill Road", ["Smith and Sons"], None, None, "12 Mill Road", None, ["name in front"], None),
+        ("P.O. Box 12, Mill Road, Springfield", [], "Springfield", "North", "Mill Road, Springfield, North", None, ["post box"], None),
+        ("PO Box 7", [], "X", "Y", None, None, ["post box"], "post box alone"),
+        ("The Big Dump", ["the big dump"], "X", "Y", None, None, ["name in front"], "a name alone"),
+        ("Km 14", [], "X", "Y", None, None, [], "kilometre marker"),
+        ("somewhere nice", [], "X", "Y", None, None, [], "no street and no place"),
+        (None, ["x"], "X", "Y", None, None, [], "no address"),
+        (" , ; ", None, "X", "Y", None, None, [], "no address"),
+        ("3610 Victoria Avenue East on NW 1/4 17-10-18 WPM in Brandon, Manitoba", [], "Brandon", "Manitoba", "3610 Victoria Avenue East on NW 1/4 17-10-18 WPM in Brandon, Manitoba, Brandon", "3610 Victoria Avenue East, Brandon, Manitoba", ["land description", "words before a place"], None),
+        ("Reynolds Bach Drive, accessed from Eastern Hutt Road in Silverstream", [], "Silverstream", None, "Reynolds Bach Drive, accessed from Eastern Hutt Road in Silverstream", "Reynolds Bach Drive, Silverstream", ["words before a place", "directions"], None),
+        ("Lots A & B, 12 High Street (north gate), City of Guelph", [], "Guelph", "Ontario", "Lots A & B, 12 High Street (north gate), City of Guelph, Ontario", "12 High Street, Guelph, Ontario", ["brackets", "lot"], None),
+        ("Calle Morelos 5", [], "Yautepec", "Morelos", "Calle Morelos 5, Yautepec, Morelos", None, [], None),
+    ]
+    rows = spark.createDataFrame([(*c[:4],) for c in cases], "a string, n array<string>, t string, s string").withColumn("p", addresses.prepared(F.col("a"), F.coalesce("n", F.array().cast("array<string>")), F.col("t"), F.col("s")))
+    for r, want in zip(rows.collect(), cases):
+        assert (r.p.sent, r.p.plainer, r.p.reasons, r.p.refused) == tuple(want[4:]), want[0]
+
+
+def test_candidates_are_listed_once(spark):
+    from sourcefold.operators import candidates
+
+    found = spark.createDataFrame([(1, "a", 1, "https://X.example/p", "Big  Dump", 10.0, 20.0, "area = 5"), (2, "a", 1, "https://x.example/p/", "big dump", 11.0, 20.0, "owner = Me"), (3, "b", 2, "https://x.example/p", "Big Dump", 10.0, 20.0, ""), (4, "c", 3, "https://y.example", None, None, None, "area = 6"), (5, "d", 3, "https://y.example", None, 1.0, 1.0, None)], "ord int, review_id string, site_id int, url string, name string, latitude double, longitude double, line string")
+    said = spark.createDataFrame([("a", "new", "Jo", "2026-01-02", "seen"), ("b", "new", None, None, " "), ("c", "new", "Al", None, None), ("d", "junk", None, None, None)], "review_id string, decision string, reviewer string, reviewed string, notes string")
+    sites = spark.createDataFrame([(1, 10.1, 20.0, 0.0), (2, 10.01, 20.0, None), (3, -50.0, 0.0, None)], "site_id int, other_latitude double, other_longitude double, area double")
+    new, citing = candidates.candidates(found, said)
+    empty = spark.createDataFrame([], f"{new._jdf.schema().toDDL()}, nearest_site_id int, nearest_km double")
+    listed, by = candidates.merged(empty, citing.limit(0), new, citing, sites)
+    rows = {r.url: r for r in listed.collect()}
+    assert len(rows) == 2 and (rows["https://X.example/p"].nearest_site_id, rows["https://X.example/p"].nearest_km) == (2, 1.1) and rows["https://y.example"].nearest_site_id is None
+    notes = {r.site_id: r.note for r in by.collect()}
+    assert notes == {1: "Marked as a new site (Jo on 2026-01-02) under site 1. It gives area = 5; owner = Me. seen", 2: "Marked as a new site under site 2.", 3: "Marked as a new site (Al) under site 3. It gives area = 6."}
+    edited = listed.withColumn("name", F.lit("edited"))
+    again, more = candidates.merged(edited, by, new, citing, sites)
+    assert again.count() == 2 and {r.name for r in again.collect()} == {"edited"} and more.count() == by.count()
