@@ -14,7 +14,7 @@ from ..functions.names import fold
 # Elements whose text isn't seen, and those that begin a line.
 HIDDEN = {"script", "style", "noscript", "template", "head", "svg"}
 BLOCKS = set("address article aside blockquote br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tbody td th tr ul".split())
-LITTLE, CUT, MENU, MENU_LINE = 200, 2_000_000, 1000, 100
+LITTLE, MENU, MENU_LINE = 200, 1000, 100
 SHARE, LEAST_WORDS = 0.8, 3
 # Abbreviations in addresses, countries that an address may leave out, and scripts without spaces between words.
 ABBREVIATIONS = {"rd": "road", "st": "street", "ave": "avenue", "av": "avenue", "hwy": "highway", "dr": "drive", "ln": "lane", "blvd": "boulevard", "cres": "crescent", "ct": "court", "pl": "place", "tce": "terrace", "pkwy": "parkway", "rte": "route", "mt": "mount", "nth": "north", "sth": "south"}
@@ -54,7 +54,7 @@ def visible_text(html: str | None) -> str | None:
     parser.feed(html)
     parser.close()
     lines = (" ".join(line.split()) for line in "".join(parser.out).split("\n"))
-    return "\n".join(line for line in lines if line)[:CUT]
+    return "\n".join(line for line in lines if line)
 
 
 def page_texts(pages: DataFrame, key: str, html: str) -> DataFrame:

@@ -78,9 +78,13 @@ def sc46(spark, sf):
     return read.select("event_id", F.explode(F.coalesce(several, F.array(one))).alias("v")).select("event_id", "v.attribute", "v.value")
 
 
-@query("sc48_quote_links")
+ENCODED = "replace(replace(url_encode(array_to_string({}, ' ')), '~', '%7E'), '%2A', '*')"
+
+
+@query("sc48_quote_links", rf"""WITH w AS (SELECT page_id, url, regexp_replace(url, '#.*$', '') AS u, string_split_regex(trim(html), '\s+') AS s FROM pages)
+  SELECT page_id, CASE WHEN regexp_matches(lower(url), '^https?://') THEN u || '#:~:text=' || CASE WHEN len(s) <= 8 THEN {ENCODED.format('s')} ELSE {ENCODED.format('s[1:4]')} || ',' || {ENCODED.format('s[-4:]')} END END AS link FROM w""")
 def sc48(spark, sf):
-    return table(spark, sf, "pages").select("page_id", values.quote_link(c("url"), F.substring("html", 1, 200)).alias("link"))
+    return table(spark, sf, "pages").select("page_id", values.quote_link(c("url"), c("html")).alias("link"))
 
 
 @query("io07_row_counts", "SELECT o_orderstatus AS run, count(*) AS now, count(*) FILTER (WHERE o_orderkey % 10 <> 0) AS before, count(*) <> count(*) FILTER (WHERE o_orderkey % 10 <> 0) AS changed FROM orders GROUP BY 1")
