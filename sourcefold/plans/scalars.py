@@ -127,9 +127,12 @@ def sc20(spark, sf):
     return table(spark, sf, "fx_citations").select("ord", links.of_site(c("url"), links.MIRRORS).alias("mirror"))
 
 
-@query("sc21_url_variants", "SELECT page_id, CASE WHEN url LIKE '%/' THEN regexp_replace(url, '/$', '') ELSE url || '/' END AS variant FROM pages WHERE url NOT LIKE '%\\%2%' ESCAPE '\\'")
+@query("sc21_url_variants", """WITH l AS (SELECT page_id, url || CASE page_id % 3 WHEN 0 THEN '/a%2Cb' WHEN 1 THEN '/a%2cb%2Cc/' ELSE '' END AS url FROM pages), k AS (SELECT *, regexp_replace(url, '%2[Cc]', ',', 'g') AS comma FROM l)
+  SELECT page_id, unnest(list_filter(list_distinct([comma, CASE WHEN comma LIKE '%/' THEN regexp_replace(comma, '/$', '') ELSE comma || '/' END]), lambda x: x <> url)) AS variant FROM k""")
 def sc21(spark, sf):
-    return table(spark, sf, "pages").where("NOT contains(url, '%2')").select("page_id", F.explode(links.url_variants(c("url"))).alias("variant"))
+    k = c("page_id") % 3
+    url = F.concat("url", F.when(k == 0, "/a%2Cb").when(k == 1, "/a%2cb%2Cc/").otherwise(F.lit("")))
+    return table(spark, sf, "pages").select("page_id", F.explode(links.url_variants(url)).alias("variant"))
 
 
 TYPE = "coalesce((SELECT t FROM tt WHERE t = s), (SELECT new FROM et WHERE t = s), (SELECT new FROM et WHERE starts_with(s, t) ORDER BY array_position(['regulator / court decision','eia','operator website','operator website / company profile','journal article','academic journal','newswire','map / coordinate directory'], t) LIMIT 1), (SELECT t FROM tt WHERE t = h), (SELECT new FROM et WHERE t = h), '')"
