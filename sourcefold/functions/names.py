@@ -82,10 +82,3 @@ def same_operator(a: Column, b: Column) -> Column:
     x, y = operator_words(a), operator_words(b)
     within = (F.size(x) > 0) & (F.size(y) > 0) & ((F.size(F.array_except(x, y)) == 0) | (F.size(F.array_except(y, x)) == 0))
     return within | ((F.size(x) > 0) & (F.array_join(x, "") == F.array_join(y, "")))
-
-
-def name_class(name: Column) -> tuple[Column, Column]:
-    """Whether a name can be searched for, and the rule that says so."""
-    text = F.trim(F.coalesce(name, F.lit("")))
-    rule = F.when(text == "", "blank").when(~text.rlike(r"\p{L}"), "no letters").when(F.size(distinctive_words(text)) == 0, "generic words only").when(text.rlike(r"^\d+\s"), "address only")
-    return F.coalesce(F.when(rule.isin("blank", "no letters"), "no name").when(rule == "generic words only", "generic label").when(rule == "address only", "address only"), F.lit("named")), rule

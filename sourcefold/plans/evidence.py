@@ -182,22 +182,6 @@ def sel04(spark, sf):
     return rows.groupBy("site_id").agg(F.max_by("pass_label", "seq").alias("reason")).join(searched, "site_id", "left_anti")
 
 
-@query("sel05_mixed_sample", """WITH r AS (SELECT *, substr(sha256(c_custkey::VARCHAR || '|s'), 1, 16) AS h FROM customer), n AS (SELECT c_nationkey, count(*) AS size FROM customer GROUP BY 1),
-  p AS (SELECT c_custkey, 0 AS stage, row_number() OVER (ORDER BY h) AS o FROM r WHERE c_nationkey IN (1, 2) QUALIFY o <= 40),
-  k AS (SELECT c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY h) AS turn, size, c_nationkey FROM r JOIN n USING (c_nationkey) WHERE c_custkey NOT IN (SELECT c_custkey FROM p)),
-  q AS (SELECT c_custkey, 1 AS stage, row_number() OVER (ORDER BY turn, size DESC, c_nationkey) AS o FROM k QUALIFY o <= 60) SELECT * FROM p UNION ALL SELECT * FROM q""")
-def sel05(spark, sf):
-    rows = table(spark, sf, "customer").withColumn("h", text.stable_order(c("c_custkey").cast("string"), F.lit("s")))
-    # a sample of fixed size: limits first, then places among what is left
-    first = rows.where("c_nationkey IN (1, 2)").orderBy("h").limit(40).select("c_custkey", "h")
-    first = first.withColumn("o", F.row_number().over(Window.orderBy("h"))).select("c_custkey", F.lit(0).alias("stage"), "o")
-    size = rows.groupBy("c_nationkey").agg(F.count("*").alias("size"))
-    left = rows.join(first.select("c_custkey"), "c_custkey", "left_anti").withColumn("turn", F.row_number().over(Window.partitionBy("c_nationkey").orderBy("h"))).where("turn <= 60").join(F.broadcast(size), "c_nationkey")
-    second = left.orderBy("turn", F.desc("size"), "c_nationkey").limit(60)
-    second = second.withColumn("o", F.row_number().over(Window.orderBy("turn", F.desc("size"), "c_nationkey"))).select("c_custkey", F.lit(1).alias("stage"), "o")
-    return first.unionByName(second)
-
-
 @query("sel09_urls_to_fetch", "SELECT DISTINCT url FROM {fx_citations} WHERE url NOT LIKE '%.maptons.com' AND url NOT IN (SELECT url FROM {fx_links} WHERE status = '200')")
 def sel09(spark, sf):
     done = table(spark, sf, "fx_links").where("status = '200'").select("url")

@@ -43,13 +43,6 @@ def sc18(spark, sf):
     return table(spark, sf, "fx_values").select("ord", found.alias("n")).select("ord", "n.usable", "n.reason")
 
 
-@query("sc35_informative_tokens", "SELECT p_partkey, array_to_string(list_filter(string_split(lower(p_name), ' '), lambda w: length(w) > 2), ' ') AS tokens FROM part")
-def sc35(spark, sf):
-    words = F.split(F.lower("p_name"), " ")
-    keep = F.filter(words, lambda w, i: (F.length(w) > 2) | (w == "&") & (i > 0))
-    return table(spark, sf, "part").select("p_partkey", F.array_join(F.filter(keep, lambda w: w != "&"), " ").alias("tokens"))
-
-
 @query("sc38_stated_parts", "SELECT s_suppkey, CASE s_suppkey % 4 WHEN 3 THEN '' ELSE s_name || ' Road' END AS address, CASE s_suppkey % 4 WHEN 0 THEN '' WHEN 3 THEN '' ELSE (s_suppkey % 80) || '.25, 10.5' END AS coordinates FROM supplier")
 def sc38(spark, sf):
     k = c("s_suppkey") % 4
@@ -134,12 +127,6 @@ def sel03(spark, sf):
     return table(spark, sf, "fx_sites").join(listed, "site_id", "left").select("site_id", F.coalesce(F.when(c("facility_type") == "BUILDING", "own type"), "listed").alias("reason"))
 
 
-@query("sel06_skip_candidates", "SELECT batch, class, count(*) AS n FROM (SELECT country_key % 4 AS batch, CASE WHEN site_id % 3 = 0 THEN 'generic label' ELSE 'named' END AS class FROM {fx_sites}) GROUP BY ALL")
-def sel06(spark, sf):
-    name = F.when(c("site_id") % 3 == 0, "City Landfill").otherwise(F.concat(F.lit("Kettle "), c("site_name")))
-    return table(spark, sf, "fx_sites").groupBy((c("country_key") % 4).alias("batch"), names.name_class(name)[0].alias("class")).agg(F.count("*").alias("n"))
-
-
 @query("ag11_stated_once", "SELECT site_id, source_id, arg_min(url, ord) AS url FROM (SELECT site_id, source_index AS source_id, url, ord * 100 + length(url) AS ord FROM (SELECT site_id, source_index, min(url) AS url, ord FROM {fx_citations} GROUP BY ALL)) GROUP BY ALL")
 def ag11(spark, sf):
     rows = table(spark, sf, "fx_citations").groupBy("site_id", c("source_index").alias("source_id"), "ord").agg(F.min("url").alias("url"))

@@ -62,20 +62,6 @@ def sc33(spark, sf):
     return table(spark, sf, "supplier").select("s_suppkey", names.same_operator(name, plain_sa).alias("same"))
 
 
-@query("sc34_name_class", "SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'no name' WHEN 1 THEN 'no name' WHEN 2 THEN 'generic label' WHEN 3 THEN 'address only' ELSE 'named' END AS class, CASE c_custkey % 5 WHEN 0 THEN 'blank' WHEN 1 THEN 'no letters' WHEN 2 THEN 'generic words only' WHEN 3 THEN 'address only' END AS rule FROM customer")
-def sc34(spark, sf):
-    k = c("c_custkey") % 5
-    name = F.when(k == 0, " ").when(k == 1, "12 / 7").when(k == 2, "Municipal Landfill Site").when(k == 3, F.concat(c("c_custkey").cast("string"), F.lit(" Wharf Road"))).otherwise(F.lit("Kettle Hill Landfill"))
-    kind, rule = names.name_class(name)
-    return table(spark, sf, "customer").select("c_custkey", kind.alias("class"), rule.alias("rule"))
-
-
-@query("sel02_skip_by_name", "SELECT p_partkey % 3 = 0 AS skipped, count(*) AS n FROM part GROUP BY 1")
-def sel02(spark, sf):
-    name = F.when(c("p_partkey") % 3 == 0, "Sanitary Landfill").otherwise(F.lit("Kettle Hill"))
-    return table(spark, sf, "part").groupBy((names.name_class(name)[0] != "named").alias("skipped")).agg(F.count("*").alias("n"))
-
-
 @query("pj05_visible_text")
 def pj05(spark, sf):
     return page_ops.page_texts(table(spark, sf, "pages"), "page_id", "html").select("page_id", F.length("text").cast("long").alias("n"), F.md5("text").alias("h"), "note")
@@ -204,12 +190,6 @@ def up01(spark, sf):
     return table(spark, sf, "fx_found").where("excluded IS NULL").groupBy("site_id", "attribute").agg(best.alias("w")).select("site_id", "attribute", "w.*")
 
 
-@query("sel07_follow_up", "SELECT site_id FROM {fx_sites} WHERE coalesce(has_gas, '') <> 'TRUE' AND site_id IN (SELECT site_id FROM {fx_found} WHERE attribute = 'has_cover' AND lower(trim(value)) IN ('yes', 't'))")
-def sel07(spark, sf):
-    now = table(spark, sf, "fx_found").where(c("attribute") == "has_cover").where(text.tristate(c("value"))).select("site_id")
-    return table(spark, sf, "fx_sites").where(~F.coalesce(text.tristate(c("has_gas")), F.lit(False))).join(now, "site_id", "left_semi").select("site_id")
-
-
 @query("sel11_loadable", "SELECT attribute, count(*) FILTER (WHERE excluded IS NULL AND held IS NULL) AS loadable, count(*) FILTER (WHERE excluded IS NULL AND held IS NOT NULL) AS set_aside FROM {fx_found} GROUP BY attribute")
 def sel11(spark, sf):
     rows = table(spark, sf, "fx_found")
@@ -235,4 +215,3 @@ def sc17(spark, sf):
     k = c("s_suppkey")
     said = F.concat((k % 80).cast("string"), F.lit("°"), (k % 60).cast("string"), F.lit("'30\""), F.when(k % 2 == 0, " N").otherwise(" S"))
     return table(spark, sf, "supplier").select("s_suppkey", F.round(single_coordinate(said), 6).alias("degrees"))
-

@@ -218,21 +218,11 @@ def sc41(spark, sf):
     return table(spark, sf, "fx_sites").select("site_id", F.array_join(asked, ",").alias("asked"))
 
 
-@query("sc42_looks_closed", "SELECT site_id, regexp_matches(lower(coalesce(facility_status, '')), '\\b(closed|inactive)\\b') AS closed FROM {fx_sites}")
-def sc42(spark, sf):
-    return table(spark, sf, "fx_sites").select("site_id", F.lower(F.coalesce("facility_status", F.lit(""))).rlike(r"\b(closed|inactive)\b").alias("closed"))
-
-
 @query("sc43_link_verdict", "SELECT url, CASE WHEN status = '200' THEN 'OK' WHEN status IN ('404', '410') THEN 'Broken' ELSE 'Unverified' END AS verdict, status IN ('429', '500', 'timeout') AS retry FROM {fx_links}")
 def sc43(spark, sf):
     return table(spark, sf, "fx_links").select("url", links.verdict(c("status")).alias("verdict"), links.retryable(c("status")).alias("retry"))
 
 
-@query("sc44_tool_failed", "SELECT conv_id, turn, regexp_matches(lower(text), 'search (tool )?(failed|unavailable)|die (der|ein)') AS failed FROM conversations")
-def sc44(spark, sf):
-    return table(spark, sf, "conversations").select("conv_id", "turn", F.lower("text").rlike("search (tool )?(failed|unavailable)|die (der|ein)").alias("failed"))
-
-
 @query("sc49_id_text", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_custkey::VARCHAR ELSE 'x' || c_custkey END AS id, row_number() OVER (ORDER BY CASE WHEN c_custkey % 2 = 0 THEN 0 ELSE 1 END, CASE WHEN c_custkey % 2 = 0 THEN c_custkey END, 'x' || c_custkey) AS place FROM customer")
 def sc49(spark, sf):
     from pyspark.sql import Window
