@@ -133,15 +133,6 @@ def ag11(spark, sf):
     return rows.groupBy("site_id", "source_id").agg(F.min_by("url", c("ord") * 100 + F.length("url")).alias("url"))
 
 
-@query("nr05_evidence", "SELECT site_id, attribute_name, source_type = 'regulator' AND publication_date IS NOT NULL AS first_rate, count(*) FILTER (WHERE value <> '') AS usable, count(*) FILTER (WHERE value = '') AS empty FROM {fx_flat} WHERE attribute_name <> 'colour' GROUP BY ALL")
-def nr05(spark, sf):
-    from ..functions import tiers
-
-    read = nested.read_sources(nested.responses(table(spark, sf, "fx_flat"))).where("attribute_name <> 'colour'")
-    _, reason = values.normalised(c("attribute_name"), c("value"), c("unit"))
-    return read.groupBy("site_id", "attribute_name", (tiers.source_tier(c("source_type"), c("publication_date")) == 1).alias("first_rate")).agg(F.count_if(reason.isNull()).alias("usable"), F.count_if(reason == "empty").alias("empty"))
-
-
 @query("nr06_leads_not_used", "SELECT site_id, attribute, 'lead' AS status, count(*) AS n FROM {fx_found} WHERE tier = 5 GROUP BY ALL UNION ALL SELECT site_id, attribute, 'found', count(*) FROM {fx_found} WHERE tier < 5 GROUP BY ALL")
 def nr06(spark, sf):
     rows = table(spark, sf, "fx_found")
@@ -149,13 +140,6 @@ def nr06(spark, sf):
     return rows.where("tier < 5").select("site_id", "attribute", F.lit("found").alias("status"), "value").unionByName(leads, allowMissingColumns=True).groupBy("site_id", "attribute", "status").agg(F.count("*").alias("n"))
 
 
-@query("jn12_page_check", "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'no page text' WHEN page_id % 3 = 1 THEN 'found' ELSE 'not found' END AS result FROM pages")
-def jn12(spark, sf):
-    body = table(spark, sf, "pages").select("page_id", F.concat(F.lit("Waste of the district: "), c("page_id").cast("string"), F.lit(" tonnes were taken.")).alias("text"))
-    quotes = body.select("page_id", F.when(c("page_id") % 3 == 2, "nothing like that 777777").otherwise(F.expr("page_id || ' tonnes were taken'")).alias("quote"))
-    return page_ops.quote_results(quotes, body.where("page_id % 3 <> 0"), "page_id").select("page_id", "result")
-
-
 @query("jn22_decisions_joined", "SELECT ord, attribute, value, coalesce(decision, 'undecided') AS decision FROM {fx_found} LEFT JOIN {fx_decisions} USING (review_id)")
 def jn22(spark, sf):
     decisions = table(spark, sf, "fx_decisions").select("review_id", "decision")
@@ -197,16 +181,6 @@ def ag09b(spark, sf):
     return pairs.merged_points(spread, "k")
 
 
-@query("pj04_geocoder_answers", "SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN 'rooftop' WHEN 1 THEN 'street' WHEN 2 THEN 'major road' ELSE 'unusable' END AS match, CASE WHEN s_suppkey % 4 < 3 THEN s_name END AS town FROM supplier")
-def pj04(spark, sf):
-    k = c("s_suppkey") % 4
-    kind = F.when(k == 0, "house").when(k == 1, "residential").when(k == 2, "motorway").otherwise(F.lit("country"))
-    answer = F.to_json(F.struct(kind.alias("type"), F.struct(F.when(k < 2, c("s_name")).alias("town"), F.when(k == 2, c("s_name")).alias("village")).alias("address")))
-    read = F.from_json(answer, "type string, address struct<city: string, town: string, village: string>")
-    told = F.when(read["type"].isin("house", "building"), "rooftop").when(read["type"].isin("residential", "tertiary", "unclassified"), "street").when(read["type"].isin("motorway", "trunk", "primary"), "major road").otherwise("unusable")
-    return table(spark, sf, "supplier").select("s_suppkey", told.alias("match"), F.coalesce(read["address"]["city"], read["address"]["town"], read["address"]["village"]).alias("town"))
-
-
 @query("pj09_postal_patterns", "SELECT doc_id, nullif(regexp_extract(text, '\\b([0-9]{1,4} [A-Z][a-z]+)', 1), '') AS place FROM documents")
 def pj09(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.nullif(F.regexp_extract("text", r"\b([0-9]{1,4} [A-Z][a-z]+)", 1), F.lit("")).alias("place"))

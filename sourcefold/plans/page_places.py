@@ -94,16 +94,21 @@ def pj01(spark, sf):
     return rows.select("c_custkey", F.round("p.lat", 3).alias("lat"), F.round("p.lon", 3).alias("lon"), "p.basis", F.coalesce(c("p.reason").startswith("coordinates out"), F.lit(False)).alias("beyond"))
 
 
-@query("pj08_stated_places", """SELECT source_id, CASE k WHEN 0 THEN 'found' WHEN 1 THEN 'partly' WHEN 2 THEN 'found' WHEN 3 THEN 'not found' WHEN 5 THEN 'not found' WHEN 6 THEN 'partly' WHEN 7 THEN 'no page text' WHEN 8 THEN 'found' WHEN 9 THEN 'found' END AS place_on_page FROM {fx_page_places}""")
-def pj08_places(spark, sf):
-    rows, k = ends(spark, sf), c("k")
+def stated(rows):
+    """What sources state of the pages' places, by k."""
+    k = c("k")
     point = lambda lat: F.format_string("%.4f, %.4f", lat, c("longitude"))
     said = F.when(k == 0, point(c("latitude") - 0.001)).when(k == 1, point(c("latitude"))).when(k == 5, "TQ 310 806").when(k == 8, point(c("latitude") + 0.5))
     address = F.when(k == 2, "12 old Mill RD.").when(k == 3, "Calle Mayor 98765").when(k == 6, "Lot 12 Concession 4, Canada").when(k == 7, "somewhere").when(k == 8, "Elsewhere Avenue 98765").when(k == 9, point(c("latitude")))
     basis = F.when(k.isin(0, 1, 8), "coordinates").when(k == 5, "grid reference").otherwise("rooftop")
     lat = F.when(k == 0, c("latitude") - 0.001).when(k == 8, c("latitude") + 0.5).otherwise(c("latitude"))
-    stated = rows.select("source_id", address.alias("address"), said.alias("coordinates"), basis.alias("basis"), lat.alias("lat"), c("longitude").alias("lon"))
-    return page_places.stated_places_on_pages(stated, rows.where("k <> 7").select("source_id", "text"), "source_id").select("source_id", "place_on_page")
+    return rows.select("source_id", address.alias("address"), said.alias("coordinates"), basis.alias("basis"), lat.alias("lat"), c("longitude").alias("lon"))
+
+
+@query("pj08_stated_places", """SELECT source_id, CASE k WHEN 0 THEN 'found' WHEN 1 THEN 'partly' WHEN 2 THEN 'found' WHEN 3 THEN 'not found' WHEN 5 THEN 'not found' WHEN 6 THEN 'partly' WHEN 7 THEN 'no page text' WHEN 8 THEN 'found' WHEN 9 THEN 'found' END AS place_on_page FROM {fx_page_places}""")
+def pj08_places(spark, sf):
+    rows = ends(spark, sf)
+    return page_places.stated_places_on_pages(stated(rows), rows.where("k <> 7").select("source_id", "text"), "source_id").select("source_id", "place_on_page")
 
 
 #: Addresses as sources write them ({n}: the supplier's name, {k}: its number), what is sent, what is sent again, and why nothing is.
