@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geo import haversine_km
 
@@ -50,13 +50,17 @@ def measured(pairs: DataFrame, sites: DataFrame, far_km: float = 5.0) -> DataFra
 def collapsed(rows: DataFrame, key: list[str], order: list[Column], comparable: Column) -> DataFrame:
     """The first row of each key by order, and how many other values the key has."""
     rows = rows.withColumns({"_o": F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]), "_c": comparable})
-    return rows.groupBy(*key).agg(F.min_by(F.struct("value", "ord", "_c"), "_o").alias("w"), F.size(F.collect_set("_c")).alias("n")).select(*key, F.col("w.value").alias("value"), F.col("w.ord").alias("ord"), (F.col("n") - 1).alias("other_values"))
+    return rows.groupBy(*key).agg(F.min_by(F.struct("value", "ord", "_c"), "_o").alias("w"), F.count_distinct("_c").alias("n")).select(*key, F.col("w.value").alias("value"), F.col("w.ord").alias("ord"), (F.col("n") - 1).alias("other_values"))
 
 
 def datasets_found(citations: DataFrame, searches: int = 3, facilities: int = 2, named: int = 12) -> DataFrame:
     """Pages that many searches found, or that name several facilities."""
-    out = citations.groupBy("page").agg(F.count_distinct("site_id").alias("searches"), F.array_sort(F.collect_set(F.when(F.col("name") != "", F.col("name")))).alias("_names"))
-    return out.where((F.col("searches") >= searches) | (F.size("_names") >= facilities)).select("page", "searches", F.size("_names").alias("facilities"), F.array_join(F.slice("_names", 1, named), "; ").alias("names"))
+    name = F.when(F.col("name") != "", F.col("name"))
+    counts = citations.groupBy("page").agg(F.count_distinct("site_id").alias("searches"), F.count_distinct(name).cast("int").alias("facilities")).where((F.col("searches") >= searches) | (F.col("facilities") >= facilities))
+    # only the first names of a page are gathered
+    first = citations.where("name <> ''").select("page", "name").distinct().withColumn("_k", F.row_number().over(Window.partitionBy("page").orderBy("name"))).where(F.col("_k") <= named)
+    said = first.groupBy("page").agg(F.array_join(F.array_sort(F.collect_list("name")), "; ").alias("names"))
+    return counts.join(said, "page", "left").select("page", "searches", "facilities", F.coalesce("names", F.lit("")).alias("names"))
 
 
 def merged_points(points: DataFrame, key: str, km: float = 2.0) -> DataFrame:
