@@ -6,6 +6,7 @@ import random
 import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -407,6 +408,64 @@ def test_no_key_or_row_fills_a_bucket(spark):
     assert long.agg(F.sum(shuffling.row_bytes(long))).first()[0] == 20 * 10_016
 
 
+class Twister:
+    """The generator behind Spark's `shuffle`: a Mersenne twister seeded by two words, and whole numbers below a bound."""
+
+    def __init__(self, seed):
+        self.bits = random.Random((seed & 0xFFFFFFFF) << 32)  # the words 0 and seed
+
+    def below(self, n):
+        while True:
+            bits = self.bits.getrandbits(32) >> 1
+            if n & (n - 1) == 0:
+                return n * bits >> 31
+            if bits - bits % n + n - 1 < 2**31:
+                return bits % n
+
+    def permutation(self, n):
+        out = [0] * n
+        for i in range(n):
+            j = self.below(i + 1)
+            out[i], out[j] = out[j], i
+        return out
+
+
+def chained_hash(*values):
+    """Spark's xxhash64 of columns: each value's bytes, seeded by the hash so far."""
+    import xxhash
+
+    h = 42
+    for kind, v in values:
+        if v is not None:
+            h = xxhash.xxh64_intdigest(v.encode() if kind == "s" else v.to_bytes(4 if kind == "i" else 8, "little", signed=True), seed=h)
+    return h - 2**64 if h >= 2**63 else h
+
+
+@pytest.mark.parametrize(("shards", "bucket_bytes", "seed"), [(7, 900, 42), (3, 200, 5), (40, 10**9, 42), (1, 60, 9)])
+def test_shards_replayed_in_plain_python(spark, shards, bucket_bytes, seed):
+    rng = random.Random(shards)
+    rows = [(k if k % 11 else None, rng.choice([None, "", "same", "x" * rng.randrange(90), f"text {k}"])) for k in range(220)] + [(5, "again")] * 40 + [(None, None)] * 25
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    buckets = max(1, -(-sum(16 + len(t or "") for _, t in rows) // bucket_bytes))
+    copies, held = Counter(), {}
+    for k, text in rows:
+        row = chained_hash(("l", k), ("s", text))
+        bucket = chained_hash(("i", seed), ("l", k), ("l", row), ("l", copies[k, text])) % buckets
+        copies[k, text] += 1
+        held.setdefault(bucket, []).append((chained_hash(("i", seed + 1), ("l", k)), k is not None, k or 0, row, k, text))
+    tasks, at, wanted = -(-buckets // shuffling.BUCKETS_A_TASK), 0, []
+    for task in range(tasks):
+        twister = Twister(seed + task)
+        for bucket in range(task * buckets // tasks, (task + 1) * buckets // tasks):
+            members = sorted(held.get(bucket, []), key=lambda m: m[:4])
+            for place in twister.permutation(len(members)) if members else []:
+                shard = at * shards // len(rows)
+                wanted.append((*members[place][4:], shard, at - -(-shard * len(rows) // shards)))
+                at += 1
+    found = [(r.doc_id, r.text, r.shard, r.slot) for r in shuffling.shuffled(docs, shards, bucket_bytes=bucket_bytes, seed=seed).collect()]
+    assert Counter(found) == Counter(wanted)
+
+
 def test_shards_hold_whole_documents(spark, tmp_path):
     rows = [(k, f"text {k}" * 50) for k in range(300)] + [(5, "equal")] * 30 + [(None, None)]
     frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
