@@ -8,6 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
+from .coordinates import LABELS
+
 
 @dataclasses.dataclass(frozen=True)
 class Grid:
@@ -151,12 +153,13 @@ def _itm(said: Column) -> Column:
     return F.when(fits, _metres(east, north, "itm", F.lit(5)))
 
 
-def grid_reference(text: Column, country: Column) -> Column:
+def grid_reference(text: Column, country: Column, strict: bool = False) -> Column:
     """(lat, lon, basis, uncertainty_km) of a text's grid reference; null without one, for a null text too.
 
     Metres of ITM come first, then labelled metres, then references by letters: the first of 100 m or finer, else the
     first. Coarser ones are a hint with half the square's diagonal as uncertainty. Irish letters are read for Ireland,
-    the United Kingdom and where the country (ISO 3) isn't known.
+    the United Kingdom and where the country (ISO 3) isn't known. strict: beside labelled metres or one reference the
+    text may hold words that label coordinates, nothing else; metres of ITM say themselves what they are.
     """
     said = F.trim(F.regexp_replace(text, r"\s+", " "))
     where = F.upper(F.trim(F.coalesce(country, F.lit(""))))
@@ -171,7 +174,12 @@ def grid_reference(text: Column, country: Column) -> Column:
         return F.filter(F.concat(british, irish), lambda s: s.isNotNull())
 
     by_letters = _bound(_bound(matches, squares), lambda every: F.coalesce(F.get(F.filter(every, lambda s: s["digits"] >= FINE_DIGITS), 0), F.get(every, 0)))
-    found = F.coalesce(_itm(said), F.when(labelled, _labelled(said, where)), by_letters)
+    if strict:
+        left = F.split(F.lower(F.regexp_replace(rest, REFERENCE, " ")), r"[^\p{L}\p{N}]+")
+        alone = (F.size(groups[0]) + labelled.cast("int") == 1) & F.forall(left, lambda w: w.isin("", *LABELS))
+    else:
+        alone = F.lit(True)
+    found = F.coalesce(_itm(said), F.when(labelled & alone, _labelled(said, where)), F.when(alone, by_letters))
 
     def place(p: Column) -> Column:
         grids = {"british": BRITISH, "irish": IRISH, "itm": ITM}

@@ -45,7 +45,7 @@ def locate_stated(sources: DataFrame, cache: DataFrame) -> DataFrame:
     (key, url, iso3, address, coordinates, names, town, state, latitude, longitude, earlier); names: the facility's, an array.
 
     Parts of a stated field are set apart by |; the first that gives a point counts, an address that is nothing but
-    coordinates among the coordinates. Another address is looked up as prepared, then in its plainer form, in
+    coordinates or a grid reference among the coordinates. Another address is looked up as prepared, then in its plainer form, in
     cache (country, address, lat, lon, basis, state), one row for each country and address; an answer in another state
     isn't used. Coordinates of sites that give postcode centroids, and those copied from what the search was told (our
     point to two decimals; within 10 m of it in `earlier` responses), don't count. Coordinates win unless the address
@@ -59,12 +59,12 @@ def locate_stated(sources: DataFrame, cache: DataFrame) -> DataFrame:
         F.transform(_parts("coordinates"), lambda x, i: F.struct(F.lit(0).alias("field"), i.alias("place"), x.alias("said"))),
         F.transform(_parts("address"), lambda x, i: F.struct(F.lit(1).alias("field"), i.alias("place"), x.alias("said"))),
     )).alias("p")).select(*own, "p.*")
-    said = said.withColumns({"_loose": coordinates.stated_point(F.col("said"), F.col("iso3")), "_strict": coordinates.stated_point(F.col("said"), F.col("iso3"), strict=True), "_grid": grids.grid_reference(F.col("said"), F.col("iso3"))})
+    said = said.withColumns({"_loose": coordinates.stated_point(F.col("said"), F.col("iso3")), "_strict": coordinates.stated_point(F.col("said"), F.col("iso3"), strict=True), "_grid": F.when(F.col("field") == 0, grids.grid_reference(F.col("said"), F.col("iso3"))).otherwise(grids.grid_reference(F.col("said"), F.col("iso3"), strict=True))})
     grid = F.col("_grid")
     stated = lambda p: F.struct(p["lat"].alias("lat"), p["lon"].alias("lon"), p["basis"].alias("basis"), p["reason"].alias("reason"), p["uncertainty_km"].alias("km"))
     by_grid = F.when(grid["basis"].isNotNull(), F.struct(grid["lat"].alias("lat"), grid["lon"].alias("lon"), grid["basis"].alias("basis"), F.lit(None).cast("string").alias("reason"), grid["uncertainty_km"].alias("km")))
     unread = F.struct(F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"), F.lit("none").alias("basis"), F.lit("could not read the stated coordinates").alias("reason"), F.lit(0.0).alias("km"))
-    point = F.when(F.col("field") == 0, F.coalesce(F.when(F.col("_loose").isNotNull(), stated(F.col("_loose"))), by_grid, unread)).otherwise(F.when(F.col("_strict").isNotNull(), stated(F.col("_strict"))))
+    point = F.when(F.col("field") == 0, F.coalesce(F.when(F.col("_loose").isNotNull(), stated(F.col("_loose"))), by_grid, unread)).otherwise(F.coalesce(F.when(F.col("_strict").isNotNull(), stated(F.col("_strict"))), by_grid))
     said = kept(said.withColumn("point", point).drop("_loose", "_strict", "_grid"))
     first = lambda column: F.min_by(column, F.struct(F.col(column)["lat"].isNull(), "field", "place"))
     points = said.where("point IS NOT NULL").groupBy("key").agg(first("point").alias("point"))

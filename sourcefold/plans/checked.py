@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions import geocoding
+from ..functions import geocoding, grids
 from ..operators import evidence, locate, nested, page_check
 from . import page_places as places, responses  # noqa: F401
 from .registry import VIEWS, query, table
@@ -83,6 +83,15 @@ def jn11(spark, sf):
     return found.select("key", "basis", F.round("latitude", 4).alias("latitude"), F.round("longitude", 4).alias("longitude"), "reason", F.coalesce(F.size("rough"), F.lit(0)).alias("rough"))
 
 
+@query("pj02_strict", """SELECT s_suppkey, s_suppkey % 8 IN (0, 1, 4, 6) AS alone FROM supplier""")
+def pj02_strict(spark, sf):
+    k, x, y = c("s_suppkey") % 8, c("s_suppkey") * 37 % 1000, c("s_suppkey") * 91 % 1000
+    forms = ["Grid ref: TQ %03d %03d", "NGR TQ%03d%03d,", "Permit W0123, TQ %03d %03d", "12 Mill Road, TQ %03d %03d", "Easting: 4%03d00; Northing: 2%03d00", "Easting: 4%03d00, Northing: 2%03d00 at the gate", "ITM E 6%03d00, N 7%03d00 at the gate", "NGR TQ%03d%03d."]  # a full stop could begin a decimal
+    said = F.coalesce(*[F.when(k == i, F.format_string(f, x, y)) for i, f in enumerate(forms)])
+    rows = table(spark, sf, "supplier").select("s_suppkey", grids.grid_reference(said, F.lit("GBR"), strict=True).alias("p"))
+    return rows.select("s_suppkey", c("p").isNotNull().alias("alone"))
+
+
 POINTS = '[{"geometry":{"coordinates":[1,2]},"calculationMethod":"Interpolation","usageTypes":["Route"]},{"geometry":{"coordinates":[%o,%a]},"calculationMethod":"%m","usageTypes":["Route","Display"]}]'
 #: Features as the service writes them (%a, %o: the point), their precision and what is said of them; none where there is no point.
 FEATURES = [

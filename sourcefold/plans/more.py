@@ -121,6 +121,15 @@ def io14(spark, sf):
     return spark.read.parquet(path).select("p_partkey", "p_name", F.coalesce("note", F.lit("")).alias("note"))
 
 
+@query("io14_fixed_header_csv", "SELECT p_partkey::VARCHAR AS p_partkey, p_name || ', \"' || p_size || '\"' || chr(10) || 'x' AS p_name, '' AS note FROM part")
+def io14_csv(spark, sf):
+    path, parts = files.scratch(spark), table(spark, sf, "part")
+    header = ["p_partkey", "p_name", "note"]
+    files.write_csv(parts.where("p_size % 2 = 1"), path, header)
+    files.write_csv(parts.withColumn("p_name", F.concat("p_name", F.lit(', "'), c("p_size").cast("string"), F.lit('"\nx'))), path, header)
+    return files.read_csv(spark, path, header)
+
+
 @query("sel03_skip_by_type", "SELECT site_id, CASE WHEN facility_type = 'BUILDING' THEN 'own type' WHEN site_id IN (SELECT p_partkey FROM part WHERE p_size < 10) THEN 'reviewed list' END AS reason FROM {fx_sites}")
 def sel03(spark, sf):
     listed = table(spark, sf, "part").where("p_size < 10").select(c("p_partkey").alias("site_id"), F.lit("reviewed list").alias("listed"))

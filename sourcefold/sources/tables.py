@@ -40,6 +40,24 @@ def write_fixed(rows: DataFrame, path: str, header: list[str]) -> None:
     rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in header]).write.mode("overwrite").parquet(path)
 
 
+def write_csv(rows: DataFrame, path: str, header: list[str]) -> None:
+    """The columns of the header, in order, as CSV files with it; columns that a row set lacks are empty, others are dropped.
+
+    The files are written whole beside the path, which is then renamed to them: a job that fails leaves the old ones. No
+    reader finds half a table; between the two renamings it may find none.
+    """
+    written, before = f"{path}.{uuid.uuid4().hex}", f"{path}.{uuid.uuid4().hex}"
+    rows.select(*[F.col(c) if c in rows.columns else F.lit("").alias(c) for c in header]).write.option("header", True).option("escape", '"').option("emptyValue", "").csv(written)
+    spark = rows.sparkSession
+    place = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    store = place(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.exists(place(path)):
+        store.rename(place(path), place(before))
+    if not store.rename(place(written), place(path)):
+        raise OSError(f"{written} could not be renamed to {path}")
+    store.delete(place(before), True)
+
+
 def first_present(*names: str) -> Column:
     """The first of several columns that isn't blank; 0 is a value."""
     return F.coalesce(*[F.nullif(F.trim(F.col(n).cast("string")), F.lit("")) for n in names])
