@@ -125,46 +125,68 @@ def examined(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, DataFr
     return based.select("id", "th", F.col("_base").alias("base")), held.select("id", "th", "marked", copy.alias("copy"), "entities", F.expr(words).alias("words"))
 
 
-def disclosing(docs: DataFrame, held: DataFrame, text: str, disclosure: float, contexts: int) -> DataFrame:
-    """(kind, entity, term, level): terms over the threshold for an entity; level is PMI / IC."""
+#: What stands in the same copies is one class: two sums of hashes over the copies, and the rows that they stand for.
+CLASS = {"entity": ["ea", "eb", "n_e"], "term": ["ta", "tb", "n_t"]}
+
+
+def classed(rows: DataFrame, of: list[str], names: list[str]) -> DataFrame:
+    """`of`, with its class and number of rows (names), and the number of copies that hold it (seen). rows: (copy, w, *of), each once."""
+    sides = [F.bit_xor(F.xxhash64("copy", F.lit(k))).alias(name) for k, name in enumerate(names[:2])]
+    return rows.groupBy(*of).agg(*sides, F.sum("w").alias(names[2]), F.count("*").alias("seen"))
+
+
+def disclosing_classes(docs: DataFrame, held: DataFrame, text: str, disclosure: float, contexts: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(entities, terms, levels, best): classes of (kind, entity), classes of (term), (class, class, level) of those over the threshold, and (copy, term, level), the highest level of a term in a copy.
+
+    Entities that stand in the same copies disclose alike, and so do terms that also have equal document frequencies:
+    levels are worked out for pairs of classes, of which a log or a list that was copied has few, however many entities
+    and words it holds.
+    """
     n = float(docs.count())
     # a row for each text, with the number of its copies
     copies = stored(held.groupBy("copy").agg(F.count("*").alias("w"), F.first("entities").alias("entities"), F.first("words").alias("words")))
     entities = copies.select("copy", "w", F.explode("entities").alias("x")).select("copy", "w", "x.*")
-    n_e = entities.groupBy("kind", "entity").agg(F.sum("w").alias("n_e"), F.count("*").alias("seen"))
-    n_e = stored(n_e.where((F.col("seen") >= contexts) & (F.col("n_e") < n)).drop("seen"))
-    least, most = n_e.agg(F.min("n_e"), F.max("n_e")).first()
+    known = stored(classed(entities, ["kind", "entity"], CLASS["entity"]).where((F.col("seen") >= contexts) & (F.col("n_e") < n)).drop("seen"))
+    least, most = known.agg(F.min("n_e"), F.max("n_e")).first()
     if least is None:
-        return n_e.select("kind", "entity", F.lit("").alias("term"), F.lit(0.0).alias("level")).limit(0)
-    entities = stored(entities.join(few(n_e), ["kind", "entity"]).select("copy", "kind", "entity", "n_e"))
-    sharing = copies.join(entities.select("copy").distinct(), "copy", "left_semi").select("copy", "w", F.explode("words").alias("term"))
+        none = known.select("kind", "entity", *CLASS["entity"], F.lit(0).cast("long").alias("copy"), F.lit("").alias("term"), *(F.lit(0).cast("long").alias(c) for c in CLASS["term"]), F.lit(0.0).alias("level")).limit(0)
+        return known, none.select("term", *CLASS["term"]), none.select(*CLASS["entity"], *CLASS["term"], "level"), none.select("copy", "term", "level")
+    of_entities = stored(entities.join(few(known), ["kind", "entity"]).select("copy", *CLASS["entity"]).distinct())
+    sharing = copies.join(of_entities.select("copy").distinct(), "copy", "left_semi").select("copy", "w", F.explode("words").alias("term"))
     # the level can reach the threshold only if n_te / n_t >= (n_e / n) ** (1 - disclosure), and n_t <= n ** (1 - disclosure) * n_e ** disclosure
     slack = 1 - 1e-9
-    within = sharing.groupBy("term").agg(F.sum("w").alias("n_tf"), F.count("*").alias("seen")).where(F.col("seen") >= contexts)
+    within = classed(sharing, ["term"], ["ta", "tb", "n_tf"]).where(F.col("seen") >= contexts)
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))).alias("term"))
     # every word's document frequency, summed within tasks first, so that no join sees a row for each occurrence
     n_t = words.groupBy("term").agg(F.count("*").alias("n_t"))
     possible = (F.col("n_tf") >= F.col("n_t") * (slack * (least / n) ** (1 - disclosure))) & (F.col("n_t") * slack <= n ** (1 - disclosure) * most**disclosure)
-    rare = stored(n_t.join(within, "term").where(possible).select("term", "n_t"))
-    pairs = sharing.join(few(rare), "term").join(entities, "copy").where(F.col("n_t") * slack <= n ** (1 - disclosure) * F.pow("n_e", F.lit(disclosure)))
-    pairs = pairs.groupBy("kind", "entity", "term").agg(F.sum("w").alias("n_te"), F.count("*").alias("seen"), F.first("n_t").alias("n_t"), F.first("n_e").alias("n_e"))
+    rare = stored(n_t.join(within, "term").where(possible).select("term", *CLASS["term"]))
+    of_terms = stored(sharing.join(few(rare), "term").select("copy", "w", "term", *CLASS["term"]))
+    together = of_terms.drop("term").distinct().join(of_entities, "copy").where(F.col("n_t") * slack <= n ** (1 - disclosure) * F.pow("n_e", F.lit(disclosure)))
+    pairs = together.groupBy(*CLASS["entity"], *CLASS["term"]).agg(F.sum("w").alias("n_te"), F.count("*").alias("seen"))
     level = F.log(F.lit(n) * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(n) / F.col("n_e"))
-    return pairs.where(F.col("seen") >= contexts).select("kind", "entity", "term", level.alias("level")).where(F.col("level") >= disclosure)
+    levels = stored(pairs.where(F.col("seen") >= contexts).withColumn("level", level).where(F.col("level") >= disclosure).select(*CLASS["entity"], *CLASS["term"], "level"))
+    best = together.join(few(levels), [*CLASS["entity"], *CLASS["term"]]).groupBy("copy", *CLASS["term"]).agg(F.max("level").alias("level"))
+    return known, rare, levels, stored(of_terms.join(best, ["copy", *CLASS["term"]]).select("copy", "term", "level"))
+
+
+def disclosing(docs: DataFrame, held: DataFrame, text: str, disclosure: float, contexts: int) -> DataFrame:
+    """(kind, entity, term, level): terms over the threshold for an entity; level is PMI / IC. A row for each pair, for reports: spans are found from the classes."""
+    entities, terms, levels, _ = disclosing_classes(docs, held, text, disclosure, contexts)
+    return levels.join(entities, CLASS["entity"]).join(terms, CLASS["term"]).select("kind", "entity", "term", "level")
+
 
+def term_spans(held: DataFrame, best: DataFrame) -> DataFrame:
+    """(id, th, terms): all places of disclosing terms in documents that hold their entities, as structs (start, kind, end, value); value is what stands there instead.
 
-def term_spans(held: DataFrame, terms: DataFrame) -> DataFrame:
-    """(id, th, terms): all places of disclosing terms in documents that hold their entities, as structs (start, kind, end, value); value is what stands there instead."""
-    levels = held.select("id", "th", F.explode("entities").alias("x"), "words").select("id", "th", "x.*", "words")
-    own = terms.groupBy("kind", "entity").agg(F.map_from_entries(F.collect_list(F.struct("term", "level"))).alias("own"))
-    levels = levels.join(few(stored(own)), ["kind", "entity"]).select("id", "th", F.explode(F.expr("filter(transform(words, w -> struct(w AS term, own[w] AS level)), x -> x.level IS NOT NULL)")).alias("x"))
-    levels = levels.groupBy("id", "th", "x.term").agg(F.max("x.level").alias("level"))
-    levels = levels.groupBy(F.col("id").alias("_i"), F.col("th").alias("_t")).agg(F.map_from_entries(F.collect_list(F.struct("term", "level"))).alias("levels"))
-    rows = held.dropDuplicates(["id", "th"]).join(levels, F.col("id").eqNullSafe(F.col("_i")) & (F.col("th") == F.col("_t")))
-    found = f'regexp_extract_all(marked, r"{TOKEN}", 0)'
-    level = "element_at(levels, lower(x.m))"
-    instead = rf"CASE WHEN {level} >= 1 - 1e-9D THEN '' WHEN x.m rlike r'^\p{{Lu}}' THEN '[NAME]' ELSE '[TERM]' END"
-    places = placed(found, f'split(marked, r"{TOKEN}", -1)', f"{level} IS NOT NULL", f"struct(x.start AS start, {len(KINDS)} AS kind, x.end AS end, {instead} AS value)", SPANS)
-    return rows.select("id", "th", F.expr(places).alias("terms"))
+    held: rows of `examined`; best: (copy, term, level). The words of documents with such terms are joined with these one by one.
+    """
+    rows = held.dropDuplicates(["id", "th"]).join(few(stored(best.select("copy").distinct())), "copy", "left_semi")
+    places = placed(f'regexp_extract_all(marked, r"{TOKEN}", 0)', f'split(marked, r"{TOKEN}", -1)', f"NOT contains(x.m, '{MARK}')", "struct(x.start AS start, x.end AS end, x.m AS value)", "ARRAY<STRUCT<start: INT, end: INT, value: STRING>>")
+    tokens = rows.select("id", "th", "copy", F.explode(F.expr(places)).alias("x")).select("id", "th", "copy", "x.*", F.lower("x.value").alias("term"))
+    instead = F.when(F.col("level") >= 1 - 1e-9, "").when(F.col("value").rlike(r"^\p{Lu}"), "[NAME]").otherwise("[TERM]")
+    found = tokens.join(few(best), ["copy", "term"]).select("id", "th", F.struct("start", F.lit(len(KINDS)).alias("kind"), "end", instead.alias("value")).alias("x"))
+    return found.groupBy("id", "th").agg(F.collect_list("x").alias("terms"))
 
 
 def with_terms(rows: DataFrame, spans: DataFrame) -> DataFrame:
@@ -189,7 +211,7 @@ def found_spans(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
     """(id, th, base) and (id, th, terms) of docs."""
     base, held = examined(docs, id_col, text)
     held = stored(held)
-    return base, term_spans(held, stored(disclosing(docs, held, text, disclosure, contexts)))
+    return base, term_spans(held, disclosing_classes(docs, held, text, disclosure, contexts)[3])
 
 
 def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", disclosure: float = DISCLOSURE, contexts: int = CONTEXTS) -> DataFrame:

@@ -186,6 +186,20 @@ def test_many_spans_take_time_in_proportion(spark):
     assert time.time() - began < 120
 
 
+def test_copied_lists_take_time_in_proportion(spark):
+    rng = random.Random(11)
+    filler = [(100 + k, " ".join(rng.choices(WORDS, k=20))) for k in range(300)]
+    began = time.time()
+    letters = ["".join("abcdefghij"[int(d)] for d in str(i)) for i in range(5000)]
+    rows = [(k, " ".join(f"10.{i % 256}.7.{i // 256} name-{w}" for i, w in enumerate(letters)) + f" day {WORDS[k]}") for k in range(3)]
+    found = {r.doc_id: r for r in private.sanitise(frame(spark, rows + filler)).collect()}
+    for k in range(3):
+        assert [x.kind for x in found[k].spans].count(private.KINDS.index("ip")) == 5000 and sum(x.kind == len(private.KINDS) for x in found[k].spans) == 5001
+        assert found[k].clean_text == " ".join(["[IP] "] * 5000) + f"  {WORDS[k]}"
+    assert all(found[k].clean_text == t for k, t in filler)
+    assert time.time() - began < 60
+
+
 def test_private_takes_edges(spark):
     rows = [(i, t, "s") for i, t in [*EDGE, (9, "mail me@x.org"), (9, "mail me@x.org")]]
     found = private.sanitise(frame(spark, rows, "doc_id long, text string, Spans string"))
