@@ -1,17 +1,18 @@
 """Chat formatting of reply trees.
 
-Messages form trees by their parents. Self-joins enumerate the root-to-leaf paths: every leaf starts with itself, and
-a table of ancestors 1, 2, 4 ... steps up doubles the part of each path that is known, so a path of n messages takes
-log n joins and no row ever holds more than one step. Branches are ranked by score within their tree, and each
-chosen path is formatted as one conversation.
+Messages form trees by their parents. Self-joins give every message its ancestor 1, 2, 4 ... steps up, with the sum
+of the scores on the way, so after log n joins each leaf knows the score of its whole branch. Branches are ranked by
+mean score within their tree; only the chosen ones are written out, by the same ancestors: a leaf stands for itself,
+and each join doubles the part of its path that is known. So a tree costs rows for its messages and for the branches
+that are chosen, not for all of its paths, and no row ever holds more than one step.
 
 Template: each turn is `<|start|>` role, a newline, text, `<|end|>` and a newline. Inside roles and texts backslashes
 are doubled and a backslash goes into every control string after its first character, so that none is left, and
 taking the escapes out gives the text back exactly.
 
 Defined cases: null roles and texts are empty; a message whose parent is missing is a root; messages on a cycle have
-no root and are left out; rows that repeat a message count once; ties between branches go to the smaller leaf; empty tables
-give empty results; further columns of the input are ignored.
+no root and are left out; rows that repeat a message count once; ties between branches go to the longer, then to the smaller leaf; null scores
+and those that are no finite numbers count as 0; empty tables give empty results; further columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -34,37 +35,47 @@ def unescaped(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
-def paths(nodes: DataFrame) -> DataFrame:
-    """(tree, leaf, node, up) for every message on the path from a leaf to its root; up: steps above the leaf.
+def ancestors(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """(jumps, leaves): for k = 0, 1, 2 ... (tree, node, to), to 2 ** k steps above; and (tree, leaf, total, turns), the branches from a root.
 
-    nodes: (tree, node, parent), each node once in its tree.
+    messages: (tree, node, parent, score), each node once in its tree; a null or non-finite score counts as 0. What still has an ancestor when all
+    messages could have been passed stands on a cycle, or hangs from one, and has no branch.
     """
-    nodes = nodes.select("tree", "node", "parent")
+    score = F.coalesce(F.col("score").cast("double"), F.lit(0.0))
+    nodes = messages.select("tree", "node", "parent", F.when(F.isnan(score) | (F.abs(score) == float("inf")), 0.0).otherwise(score).alias("total"))
     keys = nodes.select(F.col("tree").alias("_t"), F.col("node").alias("_n"))
-    above = stored(nodes.join(keys, nodes.tree.eqNullSafe(keys._t) & (nodes.parent == keys._n), "left").select("tree", "node", F.col("_n").alias("to")))
-    parents = above.where("to IS NOT NULL").select(F.col("tree").alias("_t"), F.col("to").alias("_n")).distinct()
-    leaves = above.join(parents, above.tree.eqNullSafe(parents._t) & (above.node == parents._n), "left_anti")
-    found = stored(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).alias("up")))
-    jump, step, size = above.where("to IS NOT NULL"), 1, above.count()
-    while step <= size and not jump.isEmpty():
-        hop = jump.select(F.col("tree").alias("_t"), F.col("node").alias("_n"), F.col("to").alias("_to"))
-        more = found.join(hop, found.tree.eqNullSafe(hop._t) & (found.node == hop._n)).select("tree", "leaf", F.col("_to").alias("node"), (F.col("up") + step).alias("up"))
-        found = stored(found.union(more))
-        jump = stored(jump.join(hop, jump["tree"].eqNullSafe(hop._t) & (F.col("to") == hop._n)).select("tree", "node", F.col("_to").alias("to")))
+    state = stored(nodes.join(keys, nodes.tree.eqNullSafe(keys._t) & (nodes.parent == keys._n), "left").select("tree", "node", F.col("_n").alias("to"), "total", F.lit(1).cast("long").alias("turns")))
+    above = state.where("to IS NOT NULL").select("tree", "node", "to")
+    parents = above.select(F.col("tree").alias("_t"), F.col("to").alias("_n")).distinct()
+    leaves = state.join(parents, state.tree.eqNullSafe(parents._t) & (state.node == parents._n), "left_anti").select(F.col("tree").alias("_lt"), F.col("node").alias("_ln"))
+    jumps, step, size = [], 1, state.count()
+    while step <= size and not above.isEmpty():
+        jumps.append(above)
+        hop = state.select(F.col("tree").alias("_t"), F.col("node").alias("_n"), F.col("to").alias("_to"), F.col("total").alias("_s"), F.col("turns").alias("_c"))
+        # the rows that have reached a root aren't dealt again
+        open_ = state.where("to IS NOT NULL")
+        met = open_.join(hop, open_["tree"].eqNullSafe(hop["_t"]) & (open_["to"] == hop["_n"])).select("tree", "node", F.col("_to").alias("to"), (F.col("total") + F.col("_s")).alias("total"), (F.col("turns") + F.col("_c")).alias("turns"))
+        state = stored(state.where("to IS NULL").union(met))
+        above = state.where("to IS NOT NULL").select("tree", "node", "to")
         step *= 2
-    if step > size:  # what still has an ancestor so far up stands on a cycle, or hangs from one
-        roots = above.where("to IS NULL").select(F.col("tree").alias("_t"), F.col("node").alias("_n"))
-        ends = found.join(roots, found.tree.eqNullSafe(roots._t) & (found.node == roots._n)).select(F.col("tree").alias("_t"), F.col("leaf").alias("_l"))
-        found = found.join(ends, found.tree.eqNullSafe(ends._t) & (found.leaf == ends._l), "left_semi")
-    return found
+    ends = state.where("to IS NULL")
+    return jumps, ends.join(leaves, ends.tree.eqNullSafe(F.col("_lt")) & (ends.node == F.col("_ln")), "left_semi").select("tree", F.col("node").alias("leaf"), "total", "turns")
 
 
-def ranked(found: DataFrame, scores: DataFrame) -> DataFrame:
-    """(tree, leaf, score, rank): branches by falling mean score of their messages, then longer, then smaller leaf."""
-    own = scores.select(F.col("tree").alias("_t"), F.col("node").alias("_n"), F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("_s"))
-    branches = found.join(own, found.tree.eqNullSafe(own._t) & (found.node == own._n)).groupBy("tree", "leaf").agg(F.avg("_s").alias("score"), F.count("*").alias("turns"))
+def ranked(leaves: DataFrame, top: int) -> DataFrame:
+    """(tree, leaf, score, rank): the `top` branches by falling mean score of their messages, then longer, then smaller leaf; each task passes on `top` of a tree at most."""
     order = Window.partitionBy("tree").orderBy(F.desc("score"), F.desc("turns"), "leaf")
-    return branches.select("tree", "leaf", "score", F.row_number().over(order).alias("rank"))
+    return leaves.withColumn("score", F.col("total") / F.col("turns")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("tree", "leaf", "score", "rank")
+
+
+def paths(leaves: DataFrame, jumps: list[DataFrame]) -> DataFrame:
+    """leaves (tree, leaf, ...) with a row for every message on the path to the root (node); up: its steps above the leaf."""
+    found = leaves.withColumns({"node": F.col("leaf"), "up": F.lit(0).cast("long")})
+    for k, jump in enumerate(jumps):
+        hop = jump.select(F.col("tree").alias("_t"), F.col("node").alias("_n"), F.col("to").alias("_to"))
+        more = found.join(hop, found.tree.eqNullSafe(hop._t) & (found.node == hop._n)).withColumns({"node": F.col("_to"), "up": F.col("up") + 2**k}).select(*found.columns)
+        found = stored(found.union(more))
+    return found
 
 
 def formatted(turns: Column, loss_roles: list[str]) -> tuple[Column, Column]:
@@ -88,10 +99,8 @@ def conversations(messages: DataFrame, *, top: int = 1, loss_roles: tuple[str, .
     messages: (tree, node, parent, role, text, score); parents are nodes of the same tree, null for a root.
     """
     messages = messages.dropDuplicates(["tree", "node"])
-    found = paths(messages)
-    best = ranked(found, messages).where(F.col("rank") <= top)
-    chosen = best.select(F.col("tree").alias("_t"), F.col("leaf").alias("_l"), "score", "rank")
-    rows = found.join(chosen, found.tree.eqNullSafe(chosen._t) & (found.leaf == chosen._l)).drop("_t", "_l")
+    jumps, leaves = ancestors(messages)
+    rows = paths(stored(ranked(leaves, top)), jumps)
     own = messages.select(F.col("tree").alias("_t"), F.col("node").alias("_n"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.join(own, rows.tree.eqNullSafe(own._t) & (rows.node == own._n))
     turns = F.transform(F.sort_array(F.collect_list(F.struct((-F.col("up")).alias("at"), "role", "text"))), lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text")))

@@ -307,6 +307,48 @@ def test_reply_trees(spark):
     assert chat.conversations(messages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("top", [1, 3])
+def test_random_forests_are_brute_force(spark, top):
+    rng = random.Random(top)
+    rows = []
+    for tree in [None, *range(12)]:
+        size = rng.choice([1, 2, 9, 40])
+        near = rng.choice([1, 3, 40])
+        for node in range(size):
+            # a parent just before makes deep trees, any before it wide ones; some are missing, some close a cycle
+            parent = None if node == 0 else rng.choice([rng.randint(max(0, node - near), node - 1)] * 12 + [None, 999, size - 1])
+            rows.append((tree, node, parent, rng.choice(["user", "assistant"]), f"t{tree}n{node}", rng.choice([None, 0.0, 0.5, 1.0, 4.0, float("nan")])))
+    want = {}
+    for tree in {r[0] for r in rows}:
+        own = {r[1]: r for r in rows if r[0] == tree}
+        branches = []
+        for leaf in set(own) - {r[2] for r in own.values()}:
+            path, at = [], leaf
+            while at in own and at not in path:
+                path.append(at)
+                at = own[at][2]
+            if at not in path:
+                scores = [own[k][5] if own[k][5] and own[k][5] == own[k][5] else 0.0 for k in path]
+                branches.append((-sum(scores) / len(path), -len(path), leaf, path[::-1]))
+        for rank, (score, _, leaf, path) in enumerate(sorted(branches)[:top], 1):
+            want[tree, rank] = (leaf, -score, [(own[k][3], own[k][4]) for k in path])
+    messages = spark.createDataFrame(rng.sample(rows, len(rows)), "tree int, node int, parent int, role string, text string, score double").repartition(3)
+    found = chat.conversations(messages, top=top).withColumn("turns", chat.read_back(F.col("conversation"))).collect()
+    assert {(r.tree, r["rank"]): (r.leaf, r.score, [tuple(t) for t in r.turns]) for r in found} == want and len(found) == len(want)
+
+
+def test_a_comb_costs_rows_for_its_messages(spark):
+    # n / 2 leaves hang from a spine: all paths together have n * n / 8 messages, the chosen one n / 2
+    n = 4000
+    rows = [(1, i, i - 2 if i % 2 == 0 and i else (i - 1 if i % 2 else None), "user", str(i), 1.0 if i == n - 1 else 0.0) for i in range(n)]
+    messages = spark.createDataFrame(rows, "tree int, node int, parent int, role string, text string, score double")
+    jumps, leaves = chat.ancestors(messages)
+    best = chat.ranked(leaves, 1)
+    found = chat.paths(best, jumps)
+    assert leaves.count() == n // 2 and best.first().leaf == n - 1 and found.count() == n // 2 + 1
+    assert sum(j.count() for j in jumps) < n * 12
+
+
 # 6 quality rules
 
 
