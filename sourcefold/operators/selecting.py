@@ -79,3 +79,17 @@ def mixed_sample(sites: DataFrame, size: int, priority: list[str]) -> DataFrame:
     take(left_of(chosen).where(searchable.generic_name(F.col("name"))).withColumn("reason", F.lit("generic_name_hard_case")), min(HARD_CASES, size - n), order("generic_hard_case"))
     take(left_of(chosen).withColumn("reason", F.lit("deterministic_fill")), size - n, order("deterministic_fill"))
     return chosen.select("place", "site_id", "reason")
+
+
+def listed(rows: DataFrame, group: str, value: str, into: str) -> DataFrame:
+    """One row a group (group, into): its values as texts, in order, comma-joined; null where it has none but nulls.
+
+    rows must not repeat a value of a group. Values are sorted and joined in ranges, so that the task that writes a
+    group's text gathers one piece for each range, not one row for each value; the text itself is one value of a row.
+    """
+    texts = rows.select(F.col(group), F.col(value).cast("string").alias("_v")).repartitionByRange(group, "_v").withColumn("_part", F.spark_partition_id())
+    pieces = texts.groupBy(group, "_part").agg(F.array_join(F.array_sort(F.collect_list("_v")), ",").alias("_t"), F.count("_v").alias("_n"))
+    # a piece without values is null, and not collected
+    pieces = pieces.select(group, F.when(F.col("_n") > 0, F.struct("_part", "_t")).alias("_p"))
+    found = pieces.groupBy(group).agg(F.array_sort(F.collect_list("_p")).alias("_p"))
+    return found.select(group, F.when(F.size("_p") > 0, F.array_join(F.col("_p._t"), ",")).alias(into))

@@ -3,7 +3,7 @@
 from pyspark.sql import Window, functions as F
 
 from ..functions import links, text
-from ..operators import metrics, pairs, upsert
+from ..operators import metrics, pairs, selecting, upsert
 from . import views  # noqa: F401
 from .registry import query, table
 from .scalars import URL_FROM, URL_KEY
@@ -188,8 +188,8 @@ def sel09(spark, sf):
     return table(spark, sf, "fx_citations").select("url").distinct().where(links.of_site(c("url"), links.MIRRORS).isNull()).join(done, "url", "left_anti")
 
 
-@query("sel10_retry_worklist", "SELECT DISTINCT site_id, pass_label FROM {fx_runlog} r WHERE input_tokens IS NULL AND NOT EXISTS (SELECT 1 FROM {fx_runlog} d WHERE d.site_id = r.site_id AND d.pass_label = r.pass_label AND d.web_searches > 4)")
+@query("sel10_retry_worklist", "SELECT pass_label, string_agg(site_id::VARCHAR, ',' ORDER BY site_id::VARCHAR) AS sites FROM (SELECT DISTINCT site_id, pass_label FROM {fx_runlog} r WHERE input_tokens IS NULL AND NOT EXISTS (SELECT 1 FROM {fx_runlog} d WHERE d.site_id = r.site_id AND d.pass_label = r.pass_label AND d.web_searches > 4)) GROUP BY pass_label")
 def sel10(spark, sf):
     rows = table(spark, sf, "fx_runlog")
-    # one row a site and pass: the failed sites of a pass may be any number
-    return rows.where("input_tokens IS NULL").select("site_id", "pass_label").distinct().join(rows.where("web_searches > 4").select("site_id", "pass_label"), ["site_id", "pass_label"], "left_anti")
+    failed = rows.where("input_tokens IS NULL").select("site_id", "pass_label").distinct().join(rows.where("web_searches > 4").select("site_id", "pass_label"), ["site_id", "pass_label"], "left_anti")
+    return selecting.listed(failed, "pass_label", "site_id", "sites")
