@@ -12,7 +12,8 @@ many as one task can count. Runs are told apart by 64-bit hashes of sequences of
 last length by 96 bits.
 
 Defined cases: a null or empty text has no words; a text of fewer words than a window loses none; rows with a null
-id, and rows that repeat an id, count as documents of their own (equal ones repeat each other's windows);
+id, and rows that repeat an id, count as documents of their own (equal ones repeat each other's windows), told apart
+by a hash of the text, which only their places bear;
 an empty table gives an empty result; columns of the input that bear an added column's name are replaced.
 """
 
@@ -23,9 +24,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from .common import ODD, gram_hashes, hashed, mix, sliced_by_size, without, word_hashes
+from .common import BROADCAST_ROWS, ODD, gram_hashes, hashed, mix, sliced_by_size, without, word_hashes
 
 WINDOW, FIRST = 35, 9
 _memo = word_hashes()
@@ -114,10 +115,11 @@ def repeated(rows: DataFrame) -> DataFrame:
     """(id, th, pos, at): the places whose hash occurs again, by document."""
     known = F.col("at").isNotNull()
     key = F.when(known, F.xxhash64("id", "th")).otherwise(F.col("h"))
-    tail = F.when(known, F.lit(0)).otherwise(F.col("pos").bitwiseAND(F.lit(0xFFFFFFFF)))
-    often = F.count("*").over(Window.partitionBy(key, known, tail))
-    found = rows.withColumn("_n", often).where(F.col("th").isNotNull() & (known | (F.col("_n") > 1)))
-    return found.groupBy("id", "th").agg(F.collect_list(F.shiftright("pos", 32).cast("int")).alias("pos"), F.collect_list("at").alias("at"))
+    tail = F.when(known, F.lit(-1)).otherwise(F.col("pos").bitwiseAND(F.lit(0xFFFFFFFF)))
+    # columns, not expressions, to partition by: Spark would shuffle those beside what they are made of
+    rows = rows.select(key.alias("h"), tail.alias("tail"), "id", "th", F.shiftright("pos", 32).cast("int").alias("pos"), "at")
+    found = rows.withColumn("_n", F.count("*").over(Window.partitionBy("h", "tail"))).where(F.col("th").isNotNull() & (known | (F.col("_n") > 1)))
+    return found.groupBy("id", "th").agg(F.collect_list("pos").alias("pos"), F.collect_list("at").alias("at"))
 
 
 def with_places(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
@@ -137,14 +139,30 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, first: int = FIRST)
     return found
 
 
+def marks(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, Column]:
+    """docs and `th`, which tells apart rows of one id: a hash of the text where the id is null or repeated, else 0.
+
+    Every place that is shuffled bears th, and zeros cost no disk. Where over BROADCAST_ROWS ids are repeated, all rows have hashes.
+    """
+    own = F.coalesce(F.xxhash64(text), F.lit(0))
+    twice = docs.groupBy(F.col(id_col).alias("_repeated")).count().where("count > 1 AND _repeated IS NOT NULL").select("_repeated")
+    n = twice.limit(BROADCAST_ROWS + 1).count()
+    if n > BROADCAST_ROWS:
+        return docs, own
+    if not n:
+        return docs, F.when(F.col(id_col).isNull(), own).otherwise(F.lit(0).cast("long"))
+    known = docs.join(F.broadcast(twice), F.col(id_col) == F.col("_repeated"), "left")
+    return known, F.when(F.col(id_col).isNull() | F.col("_repeated").isNotNull(), own).otherwise(F.lit(0).cast("long"))
+
+
 def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", window: int = WINDOW, first: int = FIRST, texts: bool = True) -> DataFrame:
     """docs with n_words, n_removed, kept_sha256 and, if texts, kept_text (the kept words joined by one space)."""
     docs = without(docs, ["n_words", "n_removed", "kept_sha256", "kept_text"])
-    mark = F.coalesce(F.xxhash64(text), F.lit(0))
-    slim = docs.select(F.col(id_col).alias("id"), mark.alias("th"), F.col(text).alias("text"))
-    found = repeated_windows(slim, window, first)
     more = [c for c in docs.columns if c not in (id_col, text)]
     keep = docs.columns
+    marked, mark = marks(docs, id_col, text)
+    slim = marked.select(F.col(id_col).alias("id"), mark.alias("th"), F.col(text).alias("text"))
+    found = repeated_windows(slim, window, first)
     fields = T.StructType([*docs.schema, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType()), *([T.StructField("kept_text", T.StringType())] if texts else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +187,7 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
             own = [pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(digests, pa.string()), *([pa.array(left, pa.string())] if texts else [])]
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.names.index(c)) for c in keep), *own], names=fields.names)
 
-    own = slim if not more else docs.select(F.col(id_col).alias("id"), mark.alias("th"), F.col(text).alias("text"), F.struct(*[f"`{c}`" for c in more]).alias("more"))
+    own = slim if not more else marked.select(F.col(id_col).alias("id"), mark.alias("th"), F.col(text).alias("text"), F.struct(*[f"`{c}`" for c in more]).alias("more"))
     out = with_places(own, found, "left")
     named = {id_col: F.col("id"), text: F.col("text")} | {c: F.col("more").getField(c) for c in more}
     return out.select(*(named[c].alias(c) for c in keep), F.col("pos").alias("_pos"), F.col("at").alias("_at")).mapInArrow(run, fields)
