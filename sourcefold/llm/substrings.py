@@ -142,7 +142,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, first: int = FIRST)
 def marks(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, Column]:
     """docs and `th`, which tells apart rows of one id: a hash of the text where the id is null or repeated, else 0.
 
-    Every place that is shuffled bears th, and zeros cost no disk. Where over BROADCAST_ROWS ids are repeated, all rows have hashes.
+    Every place that is shuffled bears th, and zeros compress to almost nothing. Where over BROADCAST_ROWS ids are repeated, all rows have hashes.
     """
     own = F.coalesce(F.xxhash64(text), F.lit(0))
     twice = docs.groupBy(F.col(id_col).alias("_repeated")).count().where("count > 1 AND _repeated IS NOT NULL").select("_repeated")

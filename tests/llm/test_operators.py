@@ -91,7 +91,7 @@ def shuffled(spark, run) -> int:
 
 
 def test_substrings_shuffle_few_bytes_a_place(spark):
-    # a hash of the text with every place, and keys beside the columns they were made of, made it 20.4 bytes a word here; 17.0 without
+    # keys beside the columns they were made of, and a hash of the text with every place, made it 20.4 bytes a word here; 17.0 without
     rng = random.Random(12)
     docs = [(k, " ".join(str(rng.randrange(9)) for _ in range(1500))) for k in range(60)]
     docs += [(100 + k, t) for k, t in docs]
