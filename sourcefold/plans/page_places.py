@@ -23,12 +23,13 @@ CODES = {"GBR": "SW1A 1AA", "CAN": "K1A 0B1", "AUS": "NSW 2000", "IRL": "D02 X28
 
 
 def ends(spark, sf):
-    """The view's rows with the whole page text."""
+    """The view's rows with the whole page text; pages write a longitude beyond the date line as a western one."""
     said = F.element_at(F.array(*[F.lit(e) for e in ENDS]), (c("k") + 1).cast("int"))
     for mark, value in (("%1", c("latitude")), ("%2", c("longitude")), ("%3", c("latitude") + 0.5), ("%4", c("latitude") + 10)):
         said = F.replace(said, F.lit(mark), F.format_string("%.4f", value))
     said = F.replace(said, F.lit("{code}"), F.element_at(F.create_map(*[F.lit(x) for pair in CODES.items() for x in pair]), c("iso3")))
-    return table(spark, sf, "fx_page_places").withColumn("text", F.concat("text", said))
+    rows = table(spark, sf, "fx_page_places").withColumn("longitude", F.when(c("longitude") > 180, c("longitude") - 360).otherwise(c("longitude")))
+    return rows.withColumn("text", F.concat("text", said))
 
 
 @query("pj09_address_phrases", """SELECT source_id, CASE k WHEN 2 THEN '12 Old Mill Road' WHEN 3 THEN 'Calle Mayor 15' WHEN 6 THEN 'lot 12, concession 4' WHEN 8 THEN '4800-2 Old Highway' WHEN 9 THEN 'Hauptstraße 7b' END AS address,

@@ -2,12 +2,14 @@
 
 import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from sourcefold.functions import coordinates, phrases
 from sourcefold.operators import page_places, pages
+from sourcefold.plans.catalog import ORACLES, QUERIES
 
 # text, country, latitude, longitude, basis; a reason alone where there is no point
 SPELLINGS = [
@@ -207,3 +209,27 @@ def test_candidates_are_listed_once(spark):
     edited = listed.withColumn("name", F.lit("edited"))
     again, more = candidates.merged(edited, by, new, citing, sites)
     assert again.count() == 2 and {r.name for r in again.collect()} == {"edited"} and more.count() == by.count()
+
+
+@pytest.fixture(scope="module")
+def date_line(spark, tmp_path_factory):
+    """Tables in which all sites lie beside the date line, half of them beyond it."""
+    folder = tmp_path_factory.mktemp("date_line")
+    spark.range(151).selectExpr("id AS c_custkey", "'n' AS c_name", "24 AS c_nationkey", "1.0D AS c_acctbal", "'m' AS c_mktsegment").write.parquet(f"{folder}/customer.parquet")
+    spark.range(1).selectExpr("24 AS n_nationkey", "'x' AS n_name").write.parquet(f"{folder}/nation.parquet")
+    spark.range(150).selectExpr("id AS doc_id", "'Some prose.' AS text").write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def same_as_sql(spark, folder, name):
+    duckdb = pytest.importorskip("duckdb")
+    other = duckdb.connect()
+    for t in ("customer", "nation", "documents"):
+        other.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet/*.parquet'")
+    found = QUERIES[name](spark, folder)
+    wanted = other.sql(ORACLES[name]).project(", ".join(f'"{c}"' for c in found.columns)).fetchall()
+    return Counter(map(tuple, found.collect())) == Counter(wanted)
+
+
+def test_missed_locations_beyond_the_date_line(spark, date_line):
+    assert same_as_sql(spark, date_line, "ag18_missed_locations")
