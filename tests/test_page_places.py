@@ -233,3 +233,7 @@ def same_as_sql(spark, folder, name):
 
 def test_missed_locations_beyond_the_date_line(spark, date_line):
     assert same_as_sql(spark, date_line, "ag18_missed_locations")
+
+
+def test_summary_of_missed_locations_beyond_the_date_line(spark, date_line):
+    assert same_as_sql(spark, date_line, "ag18_missed_summary")
