@@ -241,3 +241,7 @@ def test_summary_of_missed_locations_beyond_the_date_line(spark, date_line):
 
 def test_page_check_beyond_the_date_line(spark, date_line):
     assert same_as_sql(spark, date_line, "jn12_page_check")
+
+
+def test_stated_places_beyond_the_date_line(spark, date_line):
+    assert same_as_sql(spark, date_line, "pj08_stated_places")
