@@ -94,6 +94,15 @@ def test_address_phrases():
     assert phrases.address("1 " * 100_000 + "A" * 100_000) is None
 
 
+def test_other_numbers_are_no_house_numbers():
+    for text in ["Call +1 (258) 555-4892 Erinou st or", "+44 20 7946 0958 Thea Way", "(030) 555-1234 Ther St", "Osgata 55.63.178.14 and", "via Roma 10.12.13.14", "Osgata 12@mail.example"]:
+        assert phrases.address(text) is None, text
+    cut = lambda t: t[slice(*phrases.address(t))]
+    assert cut("+1 (258) 555-4892 Erinou st, 12 Mill Road") == "12 Mill Road" and cut("Unit 3 12 Mill Road") == "12 Mill Road"
+    assert cut("+1 258 555 4892 12 Mill Road") == cut("Call (030) 555-1234\n12 Mill Road") == cut("+44 20 79\n12 Mill Road") == "12 Mill Road"
+    assert cut("Osgata 55.63.178.14, Lagata 7.") == "Lagata 7" and cut("Osgata 10-12") == "Osgata 10"
+
+
 def test_missed_locations_by_brute_force(spark):
     rng = random.Random(4)
     sites = [(s, rng.uniform(-60, 60), rng.uniform(-179, 179), rng.choice(["GBR", "FRA", None])) for s in range(12)] + [(50, None, None, "GBR")]
