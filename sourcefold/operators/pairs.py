@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions import names
 from ..functions.geo import haversine_km
+from ..sources.tables import kept
+
+#: Rows that bear equal names are held in blocks of about so many.
+BLOCK = 1_000
 
 
 def plain(name: Column) -> Column:
@@ -69,3 +74,25 @@ def merged_points(points: DataFrame, key: str, km: float = 2.0) -> DataFrame:
     none = F.array().cast("array<struct<la: double, lo: double>>")
     kept = F.aggregate(ordered, none, lambda acc, p: F.when(F.exists(acc, lambda q: haversine_km(q["la"], q["lo"], p["la"], p["lo"]) <= km), acc).otherwise(F.array_append(acc, p)))
     return points.groupBy(key).agg(F.size(kept).alias("places"))
+
+
+def similar_names(rows: DataFrame, key: str, group: str, words: str) -> DataFrame:
+    """(a, b, containment, similarity) of all rows a < b of a group whose word lists (letters and digits) share a word.
+
+    Equal lists of a group are one class, and what an ordered pair of lists gives is worked out once, however many rows
+    and groups bear them. The pairs of rows are written out from blocks of ids of two classes, after the last shuffle.
+    """
+    spark = rows.sparkSession
+    named = kept(rows.where(F.size(words) > 0).select(F.col(key).alias("id"), F.col(group).alias("g"), F.array_join(words, " ").alias("x")).distinct())
+    classes = kept(named.groupBy("g", "x").agg(F.count("*").alias("n")))
+    word = classes.select("g", "x", F.explode(F.split("x", " ")).alias("w"))
+    met = kept(word.join(word.withColumnRenamed("x", "y"), ["g", "w"]).select("g", "x", "y").distinct())
+    wa, wb = F.split("x", " "), F.split("y", " ")
+    inside = names.containment(wa, wb)
+    # few bytes and much work: not coalesced
+    scores = met.select("x", "y").distinct().repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "x", "y")
+    scores = kept(scores.select("x", "y", inside.alias("containment"), F.when(inside == 0, 0.0).otherwise(F.greatest(inside, names.sequence_ratio("x", "y"))).alias("similarity")))
+    blocks = named.join(classes, ["g", "x"]).withColumn("_b", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK))).groupBy("g", "x", "_b").agg(F.collect_list("id").alias("ids")).drop("_b")
+    blocks = kept(blocks)
+    both = met.join(scores, ["x", "y"]).join(blocks, ["g", "x"]).join(blocks.select("g", F.col("x").alias("y"), F.col("ids").alias("others")), ["g", "y"])
+    return both.select("others", "containment", "similarity", F.explode("ids").alias("a")).select("a", F.explode(F.filter("others", lambda b: b > F.col("a"))).alias("b"), "containment", "similarity")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import names, text
-from ..operators import pages as page_ops, resolve, review
+from ..operators import pages as page_ops, pairs, resolve, review
 from . import views  # noqa: F401
 from .registry import VIEWS, query, table
 
@@ -46,12 +46,8 @@ def sc31(spark, sf):
 
 @query("sc32_name_similarity")
 def sc32(spark, sf):
-    rows = named_parts(spark, sf)
-    left, right = rows.select(c("p_partkey").alias("a"), "p_brand", c("ws").alias("wa")), rows.select(c("p_partkey").alias("b"), "p_brand", c("ws").alias("wb"))
     # candidates share a brand and a word, so that no brand is paired with itself in full
-    words = left.select("a", "p_brand", "wa", F.explode("wa").alias("w")).join(right.select("b", "p_brand", "wb", F.explode("wb").alias("w")), ["p_brand", "w"]).where("a < b").dropDuplicates(["a", "b"])
-    inside = names.containment(c("wa"), c("wb"))
-    return words.select("a", "b", inside.alias("containment"), F.when(inside == 0, 0.0).otherwise(F.greatest(inside, names.sequence_ratio(F.array_join("wa", " "), F.array_join("wb", " ")))).alias("similarity"))
+    return pairs.similar_names(named_parts(spark, sf), "p_partkey", "p_brand", "ws")
 
 
 @query("sc33_same_operator", "SELECT s_suppkey, s_suppkey % 4 <> 3 AS same FROM supplier")

@@ -1,6 +1,7 @@
 """Operators on literal rows, and what must hold whatever the order of the rows."""
 
 import dataclasses
+import random
 
 from pyspark.sql import functions as F
 
@@ -202,3 +203,25 @@ def test_units_are_read_in_several_languages(spark):
     cases = [("annual_incoming_waste_metric_tonnes", "1,4", "millones de toneladas por año", "1400000"), ("annual_incoming_waste_metric_tonnes", "20 Mg/a", "", "20"), ("area_square_meters", "3", "hectáreas", "30000"), ("area_square_meters", "about 35.5", "", "35.5"), ("waste_in_place_metric_tonnes", "5", "t/day", None), ("annual_incoming_waste_metric_tonnes", "7", "tons", None)]
     table = spark.createDataFrame(cases, "a string, v string, u string, w string")
     assert [r.n for r in table.select(values.normalised(F.col("a"), F.col("v"), F.col("u"))[0].alias("n")).collect()] == [w for *_, w in cases]
+
+
+def test_similar_names_work_once_for_each_pair_of_names(spark, monkeypatch):
+    from difflib import SequenceMatcher
+
+    monkeypatch.setattr(pairs, "BLOCK", 3)
+    rng = random.Random(3)
+    lists = [["bolt", "large"], ["bolt", "small"], ["large", "north", "ring"], ["ring", "south"], ["2", "bolt"], ["plate"], []]
+    rows = [(k, rng.choice("AB"), rng.choice(lists)) for k in range(120)]
+    shares = {}
+    for x in lists:
+        for y in lists:
+            r = spark.range(1).select(names.containment(F.array(*map(F.lit, x)).cast("array<string>"), F.array(*map(F.lit, y)).cast("array<string>")).alias("r")).first().r if set(x) & set(y) else None
+            shares[" ".join(x), " ".join(y)] = r
+    want = set()
+    for a, g, x in rows:
+        for b, h, y in rows:
+            if a < b and g == h and set(x) & set(y):
+                inside = shares[" ".join(x), " ".join(y)]
+                want.add((a, b, inside, inside and max(inside, SequenceMatcher(None, " ".join(x), " ".join(y)).ratio())))
+    found = pairs.similar_names(spark.createDataFrame(rows, "id long, g string, ws array<string>"), "id", "g", "ws").collect()
+    assert len(found) == len(want) and set(map(tuple, found)) == want
