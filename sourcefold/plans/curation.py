@@ -122,10 +122,7 @@ def others(sites):
   k AS (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY km, o) AS n FROM p WHERE km <= 15 OR (km <= 60 AND town))
   SELECT site_id, string_agg(o::VARCHAR, ',' ORDER BY n) FILTER (WHERE n <= 10) AS nearest, greatest(count(*) - 10, 0) AS more FROM k GROUP BY site_id""")
 def jn07(spark, sf):
-    sites = table(spark, sf, "fx_sites")
-    pairs = spatial.near(sites, others(sites), 60, on=[("country_key", "other_country")]).where("site_id <> other_id")
-    same_town = F.coalesce((c("municipality") == c("other_municipality")) & (c("admin1") == c("other_admin1")), F.lit(False))
-    return spatial.ranked_neighbours(pairs.where((c("km") <= 15) | same_town), "site_id", "other_id", 10)
+    return spatial.nearest_others(table(spark, sf, "fx_sites"), "site_id", "country_key", ["municipality", "admin1"], 15, 60, 10)
 
 
 @query("jn08_within_edge", f"WITH p AS (SELECT a.site_id, b.site_id AS other_id, greatest({KM} - least(sqrt(b.area_square_meters / pi()) / 1000, 2.0), 0) AS km FROM {{fx_sites}} a JOIN {{fx_sites}} b ON a.site_id <> b.site_id) SELECT site_id, other_id, round(km, 6) AS km FROM p WHERE km <= 25")

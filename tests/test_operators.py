@@ -1,6 +1,7 @@
 """Operators on literal rows, and what must hold whatever the order of the rows."""
 
 import dataclasses
+import math
 import random
 
 from pyspark.sql import functions as F
@@ -225,3 +226,44 @@ def test_similar_names_work_once_for_each_pair_of_names(spark, monkeypatch):
                 want.add((a, b, inside, inside and max(inside, SequenceMatcher(None, " ".join(x), " ".join(y)).ratio())))
     found = pairs.similar_names(spark.createDataFrame(rows, "id long, g string, ws array<string>"), "id", "g", "ws").collect()
     assert len(found) == len(want) and set(map(tuple, found)) == want
+
+
+def crowded(rng, n):
+    """Sites of two countries, many at the same points, some without a town or a place."""
+    rows = []
+    for k in range(n):
+        lat, lon = rng.choice([60.0, 60.05, 60.4]) + rng.choice([0.0, 0.01, 0.02]), rng.choice([179.9, -179.95, 179.2])
+        rows.append((k, rng.choice([1, 2]), lat if rng.random() < 0.95 else None, lon, rng.choice(["M1", "M2", None]), rng.choice(["S1", "S2"]), rng.choice([0.0, 5e6, None])))
+    return rows
+
+
+def km_between(a, b, c, d):
+    half = math.sin(math.radians(c - a) / 2) ** 2 + math.cos(math.radians(a)) * math.cos(math.radians(c)) * math.sin(math.radians(d - b) / 2) ** 2
+    return 2 * 6371.0088 * math.asin(math.sqrt(min(half, 1)))
+
+
+SITES = "site_id long, country_key long, latitude double, longitude double, municipality string, admin1 string, area double"
+
+
+def test_nearest_others_by_brute_force(spark):
+    rows = crowded(random.Random(1), 150)
+    want = {}
+    for a in rows:
+        found = []
+        for b in rows:
+            if a[0] != b[0] and a[1] == b[1] and None not in (a[2], b[2]):
+                km = km_between(a[2], a[3], b[2], b[3])
+                if km <= 15 or (km <= 60 and a[4] and a[4:6] == b[4:6]):
+                    found.append((round(km, 9), b[0]))
+        if found:
+            want[a[0]] = [km for km, _ in sorted(found)[:4]], sorted(found), max(len(found) - 4, 0)
+    got = spatial.nearest_others(spark.createDataFrame(rows, SITES), "site_id", "country_key", ["municipality", "admin1"], 15, 60, 4).collect()
+    assert {r.site_id for r in got} == set(want) and len(got) == len(want)
+    for r in got:
+        kms, found, more = want[r.site_id]
+        of = {other: km for km, other in found}
+        ids = [int(x) for x in r.nearest.split(",")]
+        # distances that differ in the last bit may change places
+        assert r.more == more and [of[x] for x in ids] == kms and len(set(ids)) == len(ids)
+    lone = spatial.nearest_others(spark.createDataFrame([(k, 1, 0.0, 0.0, None, "S", 0.0) for k in (5, 3, 9, 1)], SITES), "site_id", "country_key", ["municipality", "admin1"], 15, 60, 2)
+    assert {r.site_id: (r.nearest, r.more) for r in lone.collect()} == {1: ("3,5", 1), 3: ("1,5", 1), 5: ("1,3", 1), 9: ("1,3", 1)}
