@@ -76,6 +76,15 @@ def merged_points(points: DataFrame, key: str, km: float = 2.0) -> DataFrame:
     return points.groupBy(key).agg(F.size(kept).alias("places"))
 
 
+def in_blocks(rows: DataFrame, on: list[str], key: str) -> DataFrame:
+    """(*on, ids): the keys of rows that are equal in `on`, in blocks of about BLOCK, so that no class is one row."""
+    rows = kept(rows.select(*on, key))
+    sizes = rows.groupBy(*on).agg(F.ceil(F.count("*") / BLOCK).alias("_n"))
+    equal = [F.col(f"r.{x}").eqNullSafe(F.col(f"s.{x}")) for x in on]
+    number = F.pmod(F.xxhash64(F.col(f"r.{key}")), F.col("_n"))
+    return rows.alias("r").join(sizes.alias("s"), equal).select("r.*", number.alias("_b")).groupBy(*on, "_b").agg(F.collect_list(key).alias("ids")).drop("_b")
+
+
 def similar_names(rows: DataFrame, key: str, group: str, words: str) -> DataFrame:
     """(a, b, containment, similarity) of all rows a < b of a group whose word lists (letters and digits) share a word.
 
@@ -84,7 +93,7 @@ def similar_names(rows: DataFrame, key: str, group: str, words: str) -> DataFram
     """
     spark = rows.sparkSession
     named = kept(rows.where(F.size(words) > 0).select(F.col(key).alias("id"), F.col(group).alias("g"), F.array_join(words, " ").alias("x")).distinct())
-    classes = kept(named.groupBy("g", "x").agg(F.count("*").alias("n")))
+    classes = kept(named.select("g", "x").distinct())
     word = classes.select("g", "x", F.explode(F.split("x", " ")).alias("w"))
     met = kept(word.join(word.withColumnRenamed("x", "y"), ["g", "w"]).select("g", "x", "y").distinct())
     wa, wb = F.split("x", " "), F.split("y", " ")
@@ -92,7 +101,6 @@ def similar_names(rows: DataFrame, key: str, group: str, words: str) -> DataFram
     # few bytes and much work: not coalesced
     scores = met.select("x", "y").distinct().repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "x", "y")
     scores = kept(scores.select("x", "y", inside.alias("containment"), F.when(inside == 0, 0.0).otherwise(F.greatest(inside, names.sequence_ratio("x", "y"))).alias("similarity")))
-    blocks = named.join(classes, ["g", "x"]).withColumn("_b", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK))).groupBy("g", "x", "_b").agg(F.collect_list("id").alias("ids")).drop("_b")
-    blocks = kept(blocks)
+    blocks = kept(in_blocks(named, ["g", "x"], "id"))
     both = met.join(scores, ["x", "y"]).join(blocks, ["g", "x"]).join(blocks.select("g", F.col("x").alias("y"), F.col("ids").alias("others")), ["g", "y"])
     return both.select("others", "containment", "similarity", F.explode("ids").alias("a")).select("a", F.explode(F.filter("others", lambda b: b > F.col("a"))).alias("b"), "containment", "similarity")

@@ -128,7 +128,7 @@ def jn07(spark, sf):
 @query("jn08_within_edge", f"WITH p AS (SELECT a.site_id, b.site_id AS other_id, greatest({KM} - least(sqrt(b.area_square_meters / pi()) / 1000, 2.0), 0) AS km FROM {{fx_sites}} a JOIN {{fx_sites}} b ON a.site_id <> b.site_id) SELECT site_id, other_id, round(km, 6) AS km FROM p WHERE km <= 25")
 def jn08(spark, sf):
     sites = table(spark, sf, "fx_sites")
-    return spatial.near(sites, others(sites), 25, edge_area="area").where("site_id <> other_id").select("site_id", "other_id", F.round("km", 6).alias("km"))
+    return spatial.all_near(sites, others(sites), "site_id", "other_id", 25, edge_area="area").select("site_id", "other_id", F.round("km", 6).alias("km"))
 
 
 @query("jn09_nearest_site", f"""WITH a AS (SELECT s_suppkey AS k, -58.0 + (s_suppkey % 24) * 5 + (s_suppkey * 17 % 100) / 100.0 AS latitude, -170.0 + (s_suppkey % 23) * 15 + (s_suppkey * 29 % 100) / 100.0 AS longitude FROM supplier),

@@ -287,3 +287,12 @@ def test_spread_points_are_never_broadcast(spark):
     a = spark.createDataFrame([(1, 0.0, 179.99)], "site_id int, latitude double, longitude double")
     b = spark.createDataFrame([(7, 0.0, -179.99)], "other_id int, other_latitude double, other_longitude double")
     assert "Broadcast" not in spatial.near(a, b, 1000, degrees=5.0)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_are_written_out_behind_the_join(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "BLOCK", 4)
+    rows = crowded(random.Random(4), 90)
+    want = {(a[0], b[0]) for a in rows for b in rows if a[0] != b[0] and None not in (a[2], b[2]) and max(km_between(a[2], a[3], b[2], b[3]) - min(math.sqrt((b[6] or 0.0) / math.pi) / 1000, 2.0), 0) <= 25}
+    sites = spark.createDataFrame(rows, SITES)
+    found = spatial.all_near(sites, sites.selectExpr("site_id AS other_id", "latitude AS other_latitude", "longitude AS other_longitude", "area"), "site_id", "other_id", 25, edge_area="area").collect()
+    assert len(found) == len(want) and {(r.site_id, r.other_id) for r in found} == want
