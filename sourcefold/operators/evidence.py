@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import links as urls, text, tiers, values
+from ..sources.tables import kept
 from .nested import evidence_id
 
+#: Links up to which they are broadcast; beyond that the join shuffles.
+BROADCAST_LINKS = 200_000
 # Attributes that say which facility a source is about, not what is found of it.
 IDENTITY = ["found_facility_name", "found_location", "found_latitude", "found_longitude"]
 NO_LINK, DEAD, UNUSABLE = "no link", "dead link", "unusable"
@@ -19,6 +22,8 @@ def _cited(read: DataFrame) -> DataFrame:
 def _linked(rows: DataFrame, links: DataFrame) -> DataFrame:
     """rows with `link_status` and the link that answers in place of the one that was written; links: (url, status, resolved_url), one row a link."""
     found = links.select(F.col("url").alias("_url"), urls.verdict(F.col("status")).alias("link_status"), F.col("status").alias("_status"), F.coalesce("resolved_url", "url").alias("_to"))
+    found = kept(found)
+    found = F.broadcast(found) if found.count() <= BROADCAST_LINKS else found
     written = F.trim(F.coalesce("url", F.lit("")))
     out = rows.withColumn("url", written).join(found, written == F.col("_url"), "left")
     return out.withColumns({"url": F.coalesce("_to", "url"), "link_status": F.coalesce("link_status", F.lit(""))}).drop("_url", "_to")

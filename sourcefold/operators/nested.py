@@ -28,9 +28,9 @@ def read_sources(rows: DataFrame) -> DataFrame:
 
 
 def merged_passes(read: DataFrame) -> DataFrame:
-    """Sources of all passes of a site numbered anew, in pass order."""
-    order = read.select("site_id", "pass", "source_index").distinct().withColumn("merged_index", (F.row_number().over(Window.partitionBy("site_id").orderBy("pass", "source_index")) - 1).cast("long"))
-    return read.join(order, ["site_id", "pass", "source_index"])
+    """Sources of all passes of a site numbered anew, in pass order; rows without a source are left out."""
+    place = F.dense_rank().over(Window.partitionBy("site_id").orderBy("pass", "source_index")) - 1
+    return read.where("site_id IS NOT NULL AND pass IS NOT NULL AND source_index IS NOT NULL").withColumn("merged_index", place.cast("long"))
 
 
 def evidence_id(site: str, source: str, value: str):

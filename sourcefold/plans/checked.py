@@ -24,7 +24,8 @@ READ = """x AS (SELECT *, CASE trim(attribute_name) WHEN 'area' THEN 'area_squar
 
 
 def cited(spark, sf):
-    read = nested.merged_passes(nested.read_sources(nested.responses(table(spark, sf, "fx_cited"))))
+    # dealt by site once: what follows groups by site and more
+    read = nested.merged_passes(nested.read_sources(nested.responses(table(spark, sf, "fx_cited").repartition("site_id"))))
     return read.drop("source_index").withColumnRenamed("merged_index", "source_index")
 
 

@@ -7,7 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 from sourcefold.functions import dates, grids, links, names, points, text, tiers, units, values
-from sourcefold.operators import pages, pairs, resolve, review, seed, spatial, upsert
+from sourcefold.operators import evidence, nested, pages, pairs, resolve, review, seed, spatial, upsert
 from sourcefold.sources import tables
 from sourcefold.streaming import run_log
 
@@ -296,3 +296,14 @@ def test_pairs_are_written_out_behind_the_join(spark, monkeypatch):
     sites = spark.createDataFrame(rows, SITES)
     found = spatial.all_near(sites, sites.selectExpr("site_id AS other_id", "latitude AS other_latitude", "longitude AS other_longitude", "area"), "site_id", "other_id", 25, edge_area="area").collect()
     assert len(found) == len(want) and {(r.site_id, r.other_id) for r in found} == want
+
+
+def plan_of(rows):
+    return rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_passes_are_merged_without_a_join(spark):
+    rows = [(1, 0, 0, 0), (1, 0, 0, 1), (1, 0, 1, 0), (1, 1, 0, 0), (1, 2, None, None), (2, 1, 3, 0), (None, 1, 0, 0)]
+    read = nested.merged_passes(spark.createDataFrame(rows, "site_id long, pass long, source_index int, value_index int"))
+    assert "Join" not in plan_of(read)
+    assert sorted(map(tuple, read.collect())) == [(1, 0, 0, 0, 0), (1, 0, 0, 1, 0), (1, 0, 1, 0, 1), (1, 1, 0, 0, 2), (2, 1, 3, 0, 0)]
