@@ -307,3 +307,13 @@ def test_passes_are_merged_without_a_join(spark):
     read = nested.merged_passes(spark.createDataFrame(rows, "site_id long, pass long, source_index int, value_index int"))
     assert "Join" not in plan_of(read)
     assert sorted(map(tuple, read.collect())) == [(1, 0, 0, 0, 0), (1, 0, 0, 1, 0), (1, 0, 1, 0, 1), (1, 1, 0, 0, 2), (2, 1, 3, 0, 0)]
+
+
+def test_listed_sources_are_shuffled_once(spark):
+    flat = spark.createDataFrame([(s, p, k, f"https://a{k}.example", "t", "2001", "n", v, "owner", "x", "ha", "2001") for s in (1, 2) for p in (0, 1) for k in (1, 2) for v in (1, 2)], "site_id long, pass long, source long, url string, source_type string, publication_date string, facility_name string, place long, attribute_name string, value string, unit string, value_date string")
+    read = nested.merged_passes(nested.read_sources(nested.responses(flat.repartition("site_id")))).drop("source_index").withColumnRenamed("merged_index", "source_index")
+    links = spark.createDataFrame([("https://a1.example", "200", "https://b.example")], "url string, status string, resolved_url string")
+    listed = evidence.listed_sources(read, links, ["owner"])
+    assert plan_of(listed).count("Exchange hashpartitioning") == 1
+    want = {(s, i, "https://b.example" if i % 2 == 0 else "https://a2.example", "n", 2) for s in (1, 2) for i in range(4)}
+    assert set(map(tuple, listed.collect())) == want
